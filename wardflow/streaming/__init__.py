@@ -1,0 +1,7 @@
+"""No streaming operators.
+
+Every input of this engine is bounded. The row-level operators (``clean_notes``,
+``chunk_notes``, the token functions) are stateless projections and accept a
+streaming DataFrame as they are; ``tests/test_streaming.py`` shows it. The cohort
+windows need the complete history of a subject and are batch only.
+"""
