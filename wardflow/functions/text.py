@@ -23,7 +23,7 @@ def default_stop_words() -> list[str]:
 
 def clean_note(text: Column) -> Column:
     """The note normalisation chain. No word boundaries: "hydr." turns into "hydoctor"."""
-    flat = F.translate(F.coalesce(text, F.lit(" ")), "\n\r/", "   ")
+    flat = F.regexp_replace(F.coalesce(text, F.lit(" ")), r"[\n\r/]", " ")
     low = F.lower(F.trim(flat))
     low = F.regexp_replace(low, r"\[(.*?)\]", "")
     low = F.regexp_replace(low, r"[0-9]+\.", "")
@@ -31,7 +31,7 @@ def clean_note(text: Column) -> Column:
     low = F.replace(low, F.lit("m.d."), F.lit("md"))
     low = F.replace(low, F.lit("admission date:"), F.lit(""))
     low = F.replace(low, F.lit("discharge date:"), F.lit(""))
-    low = F.regexp_replace(low, "--|__|==", "")
+    low = F.regexp_replace(low, r"([-_=])\1", "")
     return F.regexp_replace(F.trim(low), r"\s+", " ")
 
 
@@ -47,16 +47,20 @@ def words_of(text: Column) -> Column:
     return F.split(text, " ", -1)
 
 
-def word_chunks(words: Column, size: int = CHUNK_WORDS, min_tail: int = MIN_TAIL_WORDS) -> Column:
-    """Full chunks of ``size`` words, and the rest when it has more than ``min_tail``."""
-    n_words = F.size(words)
-    whole = F.floor(n_words / size).cast("int")
-    n_chunks = whole + F.when(n_words - whole * size > min_tail, 1).otherwise(0)
-    starts = F.when(n_chunks > 0, F.sequence(F.lit(0), n_chunks - 1))
-    return F.transform(
-        F.coalesce(starts, F.array().cast("array<int>")),
-        lambda i: F.array_join(F.slice(words, i * size + 1, size), " "),
-    )
+def word_chunks(text: Column, size: int = CHUNK_WORDS, min_tail: int = MIN_TAIL_WORDS) -> Column:
+    """Full chunks of ``size`` words, and the rest when it has more than ``min_tail``.
+
+    Words lie between single spaces and may be empty. One pass over the text cuts it,
+    however long it is.
+    """
+    cut = rf"(?:\A|(?<= ))((?:[^ ]*+ ){{0,{size - 1}}}+[^ ]*+)(?: |\z)"
+    pieces = F.regexp_extract_all(text, F.lit(cut), F.lit(1))
+
+    def long_enough(piece: Column) -> Column:
+        n_words = F.size(words_of(piece))
+        return (n_words == size) | (n_words > min_tail)
+
+    return F.filter(pieces, long_enough)
 
 
 def space_tokens(text: Column) -> Column:

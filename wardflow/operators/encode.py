@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from wardflow.operators.notes import explode_tokens
+
 # fixed values: ids of the special tokens
 PAD_ID, UNK_ID, CLS_ID, SEP_ID = 0, 1, 2, 3
 FIRST_TOKEN_ID = 4
@@ -26,8 +28,7 @@ MAX_WORD_CHARS = 100
 
 def document_tokens(docs: DataFrame, keys: list[str], tokens: Column) -> DataFrame:
     """One row per document and distinct token with its count ``tf``."""
-    exploded = docs.select(*keys, F.explode(tokens).alias("token"))
-    return exploded.groupBy(*keys, "token").agg(F.count("*").alias("tf"))
+    return explode_tokens(docs, keys, tokens).groupBy(*keys, "token").agg(F.count("*").alias("tf"))
 
 
 def top_vocabulary(token_counts: DataFrame, size: int) -> DataFrame:

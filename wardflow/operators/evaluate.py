@@ -29,7 +29,10 @@ def threshold_counts(scored: DataFrame) -> DataFrame:
         F.count_if(F.col("Label") == 1).alias("pos"), F.count_if(F.col("Label") == 0).alias("neg")
     )
     return running_sums(
-        per_score, [F.col("score").desc()], {"tp": F.col("pos"), "fp": F.col("neg")}
+        per_score,
+        [F.col("score").desc()],
+        {"tp": F.col("pos"), "fp": F.col("neg")},
+        totals=True,
     )
 
 
@@ -39,30 +42,25 @@ def _precision(tp: Column, fp: Column) -> Column:
 
 def roc_points(scored: DataFrame) -> DataFrame:
     """threshold, fpr, tpr from (0, 0), which has no threshold, down the scores."""
-    counts = threshold_counts(scored)
-    totals = scored.agg(
-        F.count_if(F.col("Label") == 1).alias("p"), F.count_if(F.col("Label") == 0).alias("n")
+    point = F.struct(
+        F.col("score").cast("double").alias("threshold"),
+        F.try_divide("fp", "total_fp").alias("fpr"),
+        F.try_divide("tp", "total_tp").alias("tpr"),
     )
-    points = counts.select(
-        F.col("score").alias("threshold"),
-        F.try_divide("fp", totals.select("n").scalar()).alias("fpr"),
-        F.try_divide("tp", totals.select("p").scalar()).alias("tpr"),
-    )
-    start = totals.select(
-        F.lit(None).cast("double").alias("threshold"),
-        F.lit(0.0).alias("fpr"),
-        F.lit(0.0).alias("tpr"),
+    start = F.struct(
+        F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")
     )
-    return start.unionByName(points)
+    highest = (F.col("tp") == F.col("pos")) & (F.col("fp") == F.col("neg"))
+    points = F.when(highest, F.array(start, point)).otherwise(F.array(point))
+    return threshold_counts(scored).select(F.inline(points))
 
 
 def pr_points(scored: DataFrame) -> DataFrame:
     """threshold, precision, recall per distinct score."""
-    positives = scored.agg(F.count_if(F.col("Label") == 1)).scalar()
     return threshold_counts(scored).select(
         F.col("score").alias("threshold"),
         _precision(F.col("tp"), F.col("fp")).alias("precision"),
-        F.try_divide("tp", positives).alias("recall"),
+        F.try_divide("tp", "total_tp").alias("recall"),
     )
 
 

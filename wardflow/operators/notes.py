@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardflow.functions.text import CHUNK_WORDS, clean_note, word_chunks, words_of
+from wardflow.functions.text import CHUNK_WORDS, clean_note, word_chunks
 
 
 def fill_text(notes: DataFrame) -> DataFrame:
@@ -17,11 +17,21 @@ def clean_notes(notes: DataFrame) -> DataFrame:
 
 
 def chunk_notes(notes: DataFrame, size: int = CHUNK_WORDS, text: str = "TEXT") -> DataFrame:
-    """One row per chunk, numbered by ``chunk_no`` from 0; all other columns repeat."""
+    """One row per chunk, numbered by ``chunk_no`` from 0; all other columns repeat.
+
+    The outer form and the filter after it keep Catalyst from testing the array size,
+    and with it the whole text chain, once more below.
+    """
     others = [c for c in notes.columns if c != text]
-    worded = notes.select(*others, words_of(F.col(text)).alias("_words"))
-    pieces = worded.select(*others, word_chunks(F.col("_words"), size).alias("_pieces"))
-    return pieces.select(*others, F.posexplode("_pieces").alias("chunk_no", text))
+    pieces = word_chunks(F.col(text), size)
+    numbered = notes.select(*others, F.posexplode_outer(pieces).alias("chunk_no", text))
+    return numbered.where(F.col("chunk_no").isNotNull())
+
+
+def explode_tokens(docs: DataFrame, keys: list[str], tokens: Column) -> DataFrame:
+    """One row per token; outer for the same reason as in ``chunk_notes``."""
+    rows = docs.select(*keys, F.explode_outer(tokens).alias("token"))
+    return rows.where(F.col("token").isNotNull())
 
 
 def segment_labelled_notes(notes: DataFrame, size: int = CHUNK_WORDS) -> DataFrame:

@@ -47,25 +47,39 @@ def lead_within(
     )
 
 
-def running_sums(df: DataFrame, order: list, sums: dict[str, Column]) -> DataFrame:
-    """Add ``sum(x) over (order by order rows unbounded preceding)`` for each named x."""
+def running_sums(
+    df: DataFrame, order: list, sums: dict[str, Column], totals: bool = False
+) -> DataFrame:
+    """Add ``sum(x) over (order by order rows unbounded preceding)`` for each named x.
+
+    With ``totals`` also ``total_{name}``, the sum over all rows.
+    """
     sliced = slice_in_order(df, order)
     inside = W.partitionBy(SLICE).orderBy(*order)
     so_far = inside.rowsBetween(W.unboundedPreceding, W.currentRow)
     whole = W.partitionBy(SLICE)
+    edge = F.col("_edge")
     local = sliced.withColumn("_edge", F.lead(F.lit(1)).over(inside).isNull()).withColumns(
         {f"_run_{n}": F.sum(x).over(so_far) for n, x in sums.items()}
     )
     # the edge row of a slice carries the slice total in its running sum
-    edges = (
-        W.partitionBy(F.when(F.col("_edge"), -1).otherwise(F.col(SLICE)))
-        .orderBy(SLICE)
-        .rowsBetween(W.unboundedPreceding, W.currentRow)
+    edges = W.partitionBy(F.when(edge, -1).otherwise(F.col(SLICE))).orderBy(SLICE)
+    up_to = edges.rowsBetween(W.unboundedPreceding, W.currentRow)
+    overall = edges.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    through = local.withColumns(
+        {f"_thru_{n}": F.sum(f"_run_{n}").over(up_to) for n in sums}
+        | ({f"_all_{n}": F.sum(f"_run_{n}").over(overall) for n in sums} if totals else {})
+    )
+
+    def of_slice(edge_value: Column) -> Column:
+        return F.max(F.when(edge, edge_value)).over(whole)
+
+    done = through.withColumns(
+        {
+            n: F.col(f"_run_{n}") + of_slice(F.col(f"_thru_{n}") - F.col(f"_run_{n}"))
+            for n in sums
+        }
+        | ({f"total_{n}": of_slice(F.col(f"_all_{n}")) for n in sums} if totals else {})
     )
-    through = local.withColumns({f"_thru_{n}": F.sum(f"_run_{n}").over(edges) for n in sums})
-    before = {
-        n: F.max(F.when(F.col("_edge"), F.col(f"_thru_{n}") - F.col(f"_run_{n}"))).over(whole)
-        for n in sums
-    }
-    done = through.withColumns({n: F.col(f"_run_{n}") + before[n] for n in sums})
-    return done.select(*[c for c in df.columns if c not in sums], *sums)
+    added = [*sums, *[f"total_{n}" for n in sums if totals]]
+    return done.select(*[c for c in df.columns if c not in sums], *added)

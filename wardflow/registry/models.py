@@ -22,7 +22,7 @@ from wardflow.registry.relational import (
     src,
 )
 from wardflow.registry.tables import gap_label
-from wardflow.sources import standin
+from wardflow.sources import shared, standin
 
 KEYS = ["doc_id", "chunk_no"]
 SCORE_COLUMNS = "doc_id:i, chunk_no:i, Label:i, score:d, prediction:i"
@@ -290,16 +290,13 @@ FEATURES = [
 
 
 def chunks(spark, d):
-    return standin.labelled_chunks(spark, d)
-
-
-def split_chunks(spark, d):
-    """The chunks of the train and test documents, by hash."""
-    return sampling.hash_split(chunks(spark, d), F.col("ID"))
+    """Cut off from the text chain, since fitting passes over them many times."""
+    return shared.materialised(standin.labelled_chunks(spark, d))
 
 
 def parts(spark, d):
-    rows = split_chunks(spark, d)
+    """The chunks of the train and test documents, by hash."""
+    rows = sampling.hash_split(chunks(spark, d), F.col("ID"))
     return {n: rows.where(F.col("split") == n).drop("split") for n in ("train", "test")}
 
 
@@ -390,7 +387,10 @@ def ml15(spark, d):
     tokens = doc_terms(spark, d)
     vectors = standin.vector_table(spark, d)
     pooled = encode.mean_pool(tokens, vectors, ["doc_id", "Label"])
-    rows = pooled.select("doc_id", F.lit(0).alias("chunk_no"), "Label", F.col("pooled").alias("features"))
+    whole = F.lit(0).alias("chunk_no")
+    rows = shared.materialised(
+        pooled.select("doc_id", whole, "Label", F.col("pooled").alias("features"))
+    )
     width = 64
     model = classify.fit_on_features(classify.perceptron(inputs=width), rows)
     return classify.score(model, rows, KEYS)
@@ -461,7 +461,7 @@ def cohort_query(n_days):
 
 def jb4(spark, d):
     """Train on the balanced cohort chunks and report each split."""
-    rows = jobs.training_data(src(spark, d), 180)
+    rows = shared.materialised(jobs.training_data(src(spark, d), 180))
     split = {n: rows.where(F.col("split") == n) for n in ("train", "val", "test")}
     fitted = small_tfidf(split["train"])
     return jobs.train_and_evaluate(fitted, classify.logistic(10, 0.005, 0.5), split, ["ID", "chunk_no"])[1]

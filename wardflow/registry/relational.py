@@ -14,7 +14,7 @@ from wardflow.operators.ordering import SLICE
 from wardflow.plans import jobs
 from wardflow.registry.query import Query
 from wardflow.registry.tables import gap_label
-from wardflow.sources import readers, sinks, standin
+from wardflow.sources import readers, shared, sinks, standin
 
 TYPES = jobs.ADMISSION_TYPES
 
@@ -75,7 +75,7 @@ def src1(spark, d):
 
 def _csv_copy(spark, d, name, sep=","):
     rows = docs(spark, d).select(F.col("doc_id").alias("ID"), "TEXT", "Label")
-    return sinks.write_csv(rows, sinks.shared_path(spark, name), sep)
+    return sinks.write_csv(rows, shared.shared_path(spark, name), sep)
 
 
 def src2(spark, d):
@@ -112,14 +112,14 @@ def src8(spark, d):
 
 
 def snk1(spark, d):
-    folder = sinks.shared_path(spark, "snk1")
+    folder = shared.shared_path(spark, "snk1")
     path = sinks.write_labelled_notes(jobs.readmission_etl(src(spark, d), 30), folder, 30)
     return digest(readers.parquet_table(spark, path))
 
 
 def snk2(spark, d):
     paths = sinks.write_splits(
-        sampling.class_balance(cohort_chunks(spark, d)), sinks.shared_path(spark, "snk2")
+        sampling.class_balance(cohort_chunks(spark, d)), shared.shared_path(spark, "snk2")
     )
     parts = [readers.chunk_csv(spark, p).withColumn("split", F.lit(n)) for n, p in paths.items()]
     return digest(readers.union_all(parts))
@@ -127,12 +127,12 @@ def snk2(spark, d):
 
 def snk3(spark, d):
     votes = evaluate.vote_scores(standin.scores(spark, d)).withColumnRenamed("Label", "label")
-    path = sinks.write_admission_scores(votes, sinks.shared_path(spark, "snk3"))
+    path = sinks.write_admission_scores(votes, shared.shared_path(spark, "snk3"))
     return readers.parquet_table(spark, path)
 
 
 def snk3_chunks(spark, d):
-    path = sinks.write_chunk_scores(standin.scores(spark, d), sinks.shared_path(spark, "snk3c"))
+    path = sinks.write_chunk_scores(standin.scores(spark, d), shared.shared_path(spark, "snk3c"))
     return readers.parquet_table(spark, path)
 
 
@@ -141,7 +141,7 @@ def snk4(spark, d):
 
 
 def _small_model(spark, d):
-    chunks = standin.labelled_chunks(spark, d)
+    chunks = shared.materialised(standin.labelled_chunks(spark, d))
     fitted = features.tfidf_stages(features.SMALL_VOCABULARY).fit(chunks)
     return chunks, fitted, classify.logistic(max_iter=5, reg=0.01)
 
@@ -149,7 +149,7 @@ def _small_model(spark, d):
 def snk5(spark, d):
     chunks, fitted, classifier = _small_model(spark, d)
     model = classify.train(fitted, classifier, chunks)
-    path = sinks.shared_path(spark, "snk5")
+    path = shared.shared_path(spark, "snk5")
     sinks.write_json(sinks.loss_history(spark, model.stages[-1]), path)
     return spark.read.schema("step int, loss double").json(path)
 
@@ -159,7 +159,7 @@ def snk6(spark, d):
 
     chunks, fitted, classifier = _small_model(spark, d)
     model = classify.train(fitted, classifier, chunks)
-    path = sinks.save_model(model, sinks.shared_path(spark, "snk6"))
+    path = sinks.save_model(model, shared.shared_path(spark, "snk6"))
     return classify.score(PipelineModel.load(path), chunks, ["doc_id", "chunk_no"])
 
 

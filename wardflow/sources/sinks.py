@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,19 +12,6 @@ from wardflow.sources.readers import null_guard
 LABELLED_COLUMNS = {"SUBJECT_ID": "int", "HADM_ID": "int", "LABEL": "int", "TEXT": "string"}
 
 
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path below the folder that all executors of this session can reach.
-
-    The folder is ``spark.checkpoint.dir``. Only a local session may do without it.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-        base = tempfile.mkdtemp(prefix="wardflow-")
-    return os.path.join(base, f"wardflow-{name}-{uuid.uuid4().hex}")
-
-
 def write_labelled_notes(notes: DataFrame, folder: str, n_days: int) -> str:
     """Four non-null columns to ``readmit_{n_days}.parquet``; returns the path."""
     typed = notes.select(*[F.col(c).cast(t).alias(c) for c, t in LABELLED_COLUMNS.items()])
@@ -35,27 +20,26 @@ def write_labelled_notes(notes: DataFrame, folder: str, n_days: int) -> str:
     return path
 
 
-def write_csv(df: DataFrame, path: str, sep: str = ",") -> str:
+def write_csv(df: DataFrame, path: str, sep: str = ",", partition: str | None = None) -> str:
     """CSV with header and doubled quotes, readable by ``csv_table`` and by pandas."""
-    (
+    writer = (
         df.write.mode("overwrite")
         .option("header", True)
         .option("sep", sep)
         .option("quote", '"')
         .option("escape", '"')
-        .option("emptyValue", "")
-        .csv(path)
     )
+    if partition is not None:
+        writer = writer.partitionBy(partition)
+    writer.csv(path)
     return path
 
 
 def write_splits(splits: DataFrame, folder: str) -> dict[str, str]:
-    """One CSV folder per split, from a frame with a ``split`` column."""
-    paths = {}
-    for name in ("train", "val", "test"):
-        part = splits.where(F.col("split") == name).select("ID", "Label", "TEXT")
-        paths[name] = write_csv(part, os.path.join(folder, f"{name}.csv"))
-    return paths
+    """CSV per split, written in one pass; returns the path of each split."""
+    columns = splits.select("ID", "Label", "TEXT", "split")
+    write_csv(columns, folder, partition="split")
+    return {name: os.path.join(folder, f"split={name}") for name in ("train", "val", "test")}
 
 
 def write_chunk_scores(scored: DataFrame, path: str) -> str:

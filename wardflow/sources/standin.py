@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardflow.functions.text import space_tokens
-from wardflow.operators.notes import chunk_notes, clean_notes
+from wardflow.operators.notes import chunk_notes, clean_notes, explode_tokens
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -127,7 +127,7 @@ def vector_table(spark: SparkSession, folder: str) -> DataFrame:
     Tokens of one character have no vector.
     """
     docs = clean_notes(labelled_docs(spark, folder))
-    tokens = docs.select(F.explode(space_tokens(F.col("TEXT"))).alias("token")).distinct()
+    tokens = explode_tokens(docs, [], space_tokens(F.col("TEXT"))).distinct()
     embeddings = table(spark, folder, "embeddings")
     place = F.conv(F.substring(F.md5("token"), 1, 8), 16, 10).cast("bigint")
     known = tokens.where(F.length("token") > 1).withColumn(
