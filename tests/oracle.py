@@ -64,6 +64,8 @@ if __name__ == "__main__":
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
+    for setting in filter(None, os.environ.get("SETTINGS", "").split(",")):
+        session.conf.set(*setting.split("="))
     connection = connect(folder)
     bad = 0
     for name, query in registry.ALL.items():

@@ -26,7 +26,7 @@ PAIR_LIMIT = SEQUENCE_LENGTH - 3
 
 
 def documents(spark, d):
-    rows = standin.table(spark, d, "documents")
+    rows = standin.documents(spark, d)
     return rows.select("doc_id", F.col("text").alias("TEXT"))
 
 

@@ -18,6 +18,19 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Use all cores where the files give fewer splits than there are cores.
+
+    Large inputs have many splits and are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
+def documents(spark: SparkSession, folder: str) -> DataFrame:
+    return spread(table(spark, folder, "documents"), "doc_id")
+
+
 def _days(n: Column) -> Column:
     return F.make_dt_interval(n.cast("int"))
 
@@ -46,7 +59,7 @@ def admission_notes(spark: SparkSession, folder: str) -> DataFrame:
     """One row per admission and note; admissions without a note have NULL TEXT."""
     admissions = _admissions(table(spark, folder, "orders"))
     first = admissions.groupBy("SUBJECT_ID").agg(F.min("ADMITTIME").alias("FIRST_ADMITTIME"))
-    notes = table(spark, folder, "documents").select(
+    notes = documents(spark, folder).select(
         F.expr("doc_id div 2").alias("HADM_ID"), "doc_id", F.col("text").alias("TEXT")
     )
     return (
@@ -91,7 +104,7 @@ def demographics(spark: SparkSession, folder: str) -> DataFrame:
 
 def labelled_docs(spark: SparkSession, folder: str, label: str = "quality") -> DataFrame:
     """doc_id, TEXT and Label of the documents with a label."""
-    docs = table(spark, folder, "documents")
+    docs = documents(spark, folder)
     labels = table(spark, folder, "labels")
     return docs.join(labels, "doc_id").select(
         "doc_id", F.col("text").alias("TEXT"), F.col(label).alias("Label")
