@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark import StorageLevel
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import (
@@ -17,7 +19,7 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuil
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.operators.evaluate import binary_metrics, curve_metrics
+from wardflow.operators.evaluate import all_metrics
 
 LABEL = "Label"
 
@@ -106,13 +108,8 @@ def train(features: PipelineModel, classifier: Estimator, train_set: DataFrame)
 
 def split_metrics(scored: dict[str, DataFrame]) -> DataFrame:
     """One row per split: curve metrics next to the confusion metrics."""
-    out = None
-    for name, rows in scored.items():
-        # both sides have one row
-        row = curve_metrics(rows).withColumn("split", F.lit(name))
-        row = row.join(binary_metrics(rows).withColumn("split", F.lit(name)), "split")
-        out = row if out is None else out.unionByName(row)
-    return out
+    rows = [all_metrics(part).withColumn("split", F.lit(name)) for name, part in scored.items()]
+    return reduce(DataFrame.unionByName, rows)
 
 
 def train_and_report(

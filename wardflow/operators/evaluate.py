@@ -23,10 +23,22 @@ def vote_scores(chunk_scores: DataFrame) -> DataFrame:
     return chunk_scores.groupBy("ID").agg(vote.alias("score"), F.min("Label").alias("Label"))
 
 
-def threshold_counts(scored: DataFrame) -> DataFrame:
+def _cells() -> dict[str, Column]:
+    label, prediction = F.col("Label"), F.col("prediction")
+    return {
+        "tn": F.count_if((prediction == 0) & (label == prediction)),
+        "tp": F.count_if((prediction == 1) & (label == prediction)),
+        "fn": F.count_if((prediction == 0) & (label != prediction)),
+        "fp": F.count_if((prediction == 1) & (label != prediction)),
+    }
+
+
+def threshold_counts(scored: DataFrame, extra: dict[str, Column] | None = None) -> DataFrame:
     """Per distinct score: its positives and negatives, and tp / fp at this threshold."""
     per_score = scored.groupBy("score").agg(
-        F.count_if(F.col("Label") == 1).alias("pos"), F.count_if(F.col("Label") == 0).alias("neg")
+        F.count_if(F.col("Label") == 1).alias("pos"),
+        F.count_if(F.col("Label") == 0).alias("neg"),
+        *[e.alias(n) for n, e in (extra or {}).items()],
     )
     return running_sums(
         per_score,
@@ -64,25 +76,29 @@ def pr_points(scored: DataFrame) -> DataFrame:
     )
 
 
-def curve_metrics(scored: DataFrame) -> DataFrame:
-    """One row: auroc, two forms of auprc, rp80 and its threshold.
-
-    ``auprc`` starts the curve at (recall 0, precision 1), ``auprc_flat`` at the first
-    precision. Both areas need only the step before each point, which the running
-    counts give without looking back.
-    """
+def _curve_aggregates() -> list[Column]:
     tp, fp, pos, neg = (F.col(c) for c in ("tp", "fp", "pos", "neg"))
     here = _precision(tp, fp)
     before = _precision(tp - pos, fp - neg)
     n_pos, n_neg = F.sum(pos), F.sum(neg)
     precise = F.when(here > PRECISION_80, F.col("score"))
-    return threshold_counts(scored).agg(
+    return [
         F.try_divide(F.sum(neg * (tp - pos / 2)), n_pos * n_neg).alias("auroc"),
         F.try_divide(F.sum(pos * (here + F.coalesce(before, F.lit(1.0))) / 2), n_pos).alias("auprc"),
         F.try_divide(F.sum(pos * (here + F.coalesce(before, here)) / 2), n_pos).alias("auprc_flat"),
         F.coalesce(F.try_divide(F.min_by(tp, precise), n_pos), F.lit(0.0)).alias("rp80"),
         F.min(precise).alias("rp80_threshold"),
-    )
+    ]
+
+
+def curve_metrics(scored: DataFrame) -> DataFrame:
+    """One row: auroc, two forms of auprc, rp80 and its threshold.
+
+    ``auprc`` starts the curve at (recall 0, precision 1), ``auprc_flat`` at the first
+    precision. Both areas need only the step before each point, which the running
+    counts give without looking back.
+    """
+    return threshold_counts(scored).agg(*_curve_aggregates())
 
 
 def confusion_pairs(scored: DataFrame) -> DataFrame:
@@ -91,19 +107,12 @@ def confusion_pairs(scored: DataFrame) -> DataFrame:
 
 def confusion(scored: DataFrame) -> DataFrame:
     """One row: tn, tp, fn, fp."""
-    label, prediction = F.col("Label"), F.col("prediction")
-    return scored.agg(
-        F.count_if((prediction == 0) & (label == prediction)).alias("tn"),
-        F.count_if((prediction == 1) & (label == prediction)).alias("tp"),
-        F.count_if((prediction == 0) & (label != prediction)).alias("fn"),
-        F.count_if((prediction == 1) & (label != prediction)).alias("fp"),
-    )
+    return scored.agg(*[e.alias(n) for n, e in _cells().items()])
 
 
-def binary_metrics(scored: DataFrame) -> DataFrame:
-    """The confusion counts with accuracy, precision, recall, f1; NULL where undefined."""
+def _with_rates(cells: DataFrame) -> DataFrame:
     tp, tn, fp, fn = (F.col(c) for c in ("tp", "tn", "fp", "fn"))
-    rates = confusion(scored).withColumns(
+    rates = cells.withColumns(
         {
             "accuracy": F.try_divide(tp + tn, tp + tn + fp + fn),
             "precision": F.try_divide(tp, tp + fp),
@@ -114,6 +123,18 @@ def binary_metrics(scored: DataFrame) -> DataFrame:
     return rates.withColumn("f1", F.try_divide(2 * p * r, p + r))
 
 
+def binary_metrics(scored: DataFrame) -> DataFrame:
+    """The confusion counts with accuracy, precision, recall, f1; NULL where undefined."""
+    return _with_rates(confusion(scored))
+
+
+def all_metrics(scored: DataFrame) -> DataFrame:
+    """``curve_metrics`` and ``binary_metrics`` in one row from one pass over the scores."""
+    cells = {f"cell_{n}": e for n, e in _cells().items()}
+    sums = [F.sum(f"cell_{n}").alias(n) for n in _cells()]
+    return _with_rates(threshold_counts(scored, cells).agg(*_curve_aggregates(), *sums))
+
+
 def f_measure_by_label(scored: DataFrame, label: int = 1, beta: float = 1.0) -> DataFrame:
     hit = (F.col("Label") == label) & (F.col("prediction") == label)
     tp = F.count_if(hit)

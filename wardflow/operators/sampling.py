@@ -23,14 +23,18 @@ def seeded_hash(key: Column, seed: int) -> Column:
     return F.md5(F.concat(key.cast("string"), F.lit(f":{seed}")))
 
 
-def class_ids(chunks: DataFrame) -> DataFrame:
+def class_ids(rows: DataFrame) -> DataFrame:
     """The distinct (ID, Label) pairs of the two classes."""
-    return chunks.select("ID", "Label").where(F.col("Label").isin(0, 1)).distinct()
+    return rows.select("ID", "Label").where(F.col("Label").isin(0, 1)).distinct()
 
 
-def ranked_ids(ids: DataFrame, seed: int = 1) -> DataFrame:
-    """``rank`` from 1 within Label, ``n_label`` and ``n_pos`` for each distinct pair."""
-    hashed = ids.withColumn("_hash", seeded_hash(F.col("ID"), seed)).withColumn(
+def ranked_ids(rows: DataFrame, seed: int = 1) -> DataFrame:
+    """``rank`` from 1 within Label, ``n_label`` and ``n_pos`` for each distinct id.
+
+    Bucket totals and ranks both start from the shuffle of the distinct ids, so the rows
+    are read once.
+    """
+    hashed = class_ids(rows).withColumn("_hash", seeded_hash(F.col("ID"), seed)).withColumn(
         "_bucket", F.substring("_hash", 1, BUCKET_DIGITS)
     )
     per_label = W.partitionBy("Label")
@@ -62,7 +66,7 @@ def used_in_balance() -> Column:
     return F.when(F.col("Label") == 1, F.col("n_label")).otherwise(F.least("n_label", "n_pos"))
 
 
-def assign_splits(ids: DataFrame, n_days: int = 30, seed: int = 1) -> DataFrame:
+def assign_splits(rows: DataFrame, n_days: int = 30, seed: int = 1) -> DataFrame:
     """ID, Label and ``split``: val, test, train, extra (more negatives) or unused.
 
     A fifth of each class is held out, half of it for validation; halves round to even.
@@ -70,7 +74,7 @@ def assign_splits(ids: DataFrame, n_days: int = 30, seed: int = 1) -> DataFrame:
     """
     extra = EXTRA_NEGATIVES_30 if n_days == 30 else EXTRA_NEGATIVES_OTHER
     sized = (
-        ranked_ids(ids, seed)
+        ranked_ids(rows, seed)
         .withColumn("_used", used_in_balance())
         .withColumn("_held", F.bround(F.col("_used") * F.lit(HELD_OUT)).cast("bigint"))
         .withColumn("_val", F.bround(F.col("_held") * F.lit(VALIDATION_SHARE)).cast("bigint"))
@@ -86,14 +90,14 @@ def assign_splits(ids: DataFrame, n_days: int = 30, seed: int = 1) -> DataFrame:
     return sized.select("ID", "Label", "rank", split.alias("split"))
 
 
-def down_sample(ids: DataFrame, n: int | Column, seed: int = 1) -> DataFrame:
+def down_sample(rows: DataFrame, n: int | Column, seed: int = 1) -> DataFrame:
     """Exactly ``n`` ids of each class, or all where fewer exist."""
-    return ranked_ids(ids, seed).where(F.col("rank") <= n).select("ID", "Label", "rank")
+    return ranked_ids(rows, seed).where(F.col("rank") <= n).select("ID", "Label", "rank")
 
 
-def balanced_negatives(ids: DataFrame, seed: int = 1) -> DataFrame:
+def balanced_negatives(rows: DataFrame, seed: int = 1) -> DataFrame:
     """As many negatives as there are positives."""
-    negatives = ranked_ids(ids, seed).where(F.col("Label") == 0)
+    negatives = ranked_ids(rows, seed).where(F.col("Label") == 0)
     return negatives.where(F.col("rank") <= F.col("n_pos")).select("ID", "rank")
 
 
@@ -122,7 +126,7 @@ def class_balance(chunks: DataFrame, n_days: int = 30, seed: int = 1) -> DataFra
     Splits are disjoint by id, not by subject.
     """
     parts = (
-        assign_splits(class_ids(chunks), n_days, seed)
+        assign_splits(chunks, n_days, seed)
         .where(F.col("split") != "unused")
         .select("ID", F.when(F.col("split") == "extra", "train").otherwise(F.col("split")).alias("split"))
         .distinct()

@@ -58,12 +58,9 @@ def month_labelled_set(source: DataFrame, months: int = 6) -> DataFrame:
 
 def vote_report(chunk_scores: DataFrame) -> DataFrame:
     """Chunk loss and accuracy with the curve metrics of the admission votes."""
-    chunks = chunk_evaluation(chunk_scores).withColumn("_one", F.lit(1))
-    curves = curve_metrics(vote_scores(chunk_scores)).select(
-        F.lit(1).alias("_one"), "auroc", "auprc", F.col("rp80").alias("RP80")
-    )
-    # both sides have one row
-    return report_lines(chunks.join(curves, "_one").drop("_one"))
+    curves = curve_metrics(vote_scores(chunk_scores))
+    votes = curves.select("auroc", "auprc", F.col("rp80").alias("RP80"))
+    return report_lines(chunk_evaluation(chunk_scores)).unionByName(report_lines(votes))
 
 
 def cohort_profile(source: DataFrame, demographics: DataFrame) -> dict[str, DataFrame]:

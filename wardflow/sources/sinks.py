@@ -61,17 +61,17 @@ def write_admission_scores(votes: DataFrame, path: str) -> str:
 
 
 def report_lines(metrics: DataFrame) -> DataFrame:
-    """A one-row frame of numbers as sorted ``key = value`` lines (column ``line``)."""
+    """A one-row frame of numbers as ``key = value`` lines (columns ``key`` and ``line``)."""
     as_double = metrics.select(*[F.col(c).cast("double").alias(c) for c in metrics.columns])
     long = as_double.unpivot([], as_double.columns, "key", "value")
     return long.select(
         "key", F.concat(F.col("key"), F.lit(" = "), F.format_string("%.6f", "value")).alias("line")
-    ).orderBy("key")
+    )
 
 
-def write_report(metrics: DataFrame, path: str) -> str:
-    # one row per metric, so one output file
-    report_lines(metrics).select("line").coalesce(1).write.mode("overwrite").text(path)
+def write_report(lines: DataFrame, path: str) -> str:
+    """Lines sorted by key; one line per metric, so one output file."""
+    lines.coalesce(1).sortWithinPartitions("key").select("line").write.mode("overwrite").text(path)
     return path
 
 
