@@ -37,13 +37,21 @@ def vector_terms(model, frame, column):
     }
 
 
+def weighted(docs, terms):
+    tokens = space_tokens(F.col("TEXT"))
+    idf = features.inverse_document_frequency(
+        encode.document_frequencies(docs, tokens), F.lit(len(TEXTS))
+    )
+    vocabulary = encode.top_vocabulary(encode.token_frequencies(docs, tokens), 100)
+    return features.term_weights(terms, idf, vocabulary)
+
+
 def test_term_tables_equal_the_vectors(docs, terms):
     model = features.tfidf_stages(drop_stop_words=False).fit(docs)
     out = model.transform(docs)
     counts = {(r.doc_id, r.token): r.tf for r in terms.collect()}
     assert counts == vector_terms(model, out, "counts")
-    weights = features.term_weights(terms, F.lit(len(TEXTS))).collect()
-    ours = {(r.doc_id, r.token): r.tfidf for r in weights}
+    ours = {(r.doc_id, r.token): r.tfidf for r in weighted(docs, terms).collect()}
     theirs = vector_terms(model, out, "features")
     assert all(ours[k] == pytest.approx(v) for k, v in theirs.items())
     assert any(v > 0 for v in theirs.values())
@@ -53,8 +61,7 @@ def test_naive_bayes_tables_equal_the_model(docs, terms):
     model = features.tfidf_stages(drop_stop_words=False).fit(docs)
     fitted = NaiveBayes(labelCol="Label", smoothing=1.0).fit(model.transform(docs))
     words = model.stages[-2].vocabulary
-    weights = features.term_weights(terms, F.lit(len(TEXTS)))
-    priors, likelihoods = classify.naive_bayes_parameters(weights, docs)
+    priors, likelihoods = classify.naive_bayes_parameters(weighted(docs, terms), docs)
     for r in priors.collect():
         assert r.log_prior == pytest.approx(fitted.pi[r.Label])
     theta = fitted.theta.toArray()
@@ -83,9 +90,11 @@ def test_pair_lengths_against_the_loop(spark):
         assert (r.ka, r.kb) == (a, b), r
 
 
-def test_sequences(spark):
+@pytest.mark.parametrize("shared_rows", [encode.MAX_SHARED_ROWS, 1])
+def test_sequences(spark, monkeypatch, shared_rows):
+    monkeypatch.setattr(encode, "MAX_SHARED_ROWS", shared_rows)
     length = 6
-    rows = [(0, []), (1, ["a"]), (2, list("abca")), (3, list("abcab")), (4, ["zz", "a"])]
+    rows = [(0, []), (1, ["a"]), (2, list("abca")), (3, list("abcab")), (4, ["zz", "a"]), (5, None)]
     df = spark.createDataFrame(rows, "id int, tokens array<string>")
     vocabulary = spark.createDataFrame([("a", 4), ("b", 5), ("c", 6)], "token string, token_id int")
     out = encode.encode_sequences(df, ["id"], F.col("tokens"), vocabulary, length).collect()
@@ -95,6 +104,7 @@ def test_sequences(spark):
     assert got[2].input_ids == [2, 4, 5, 6, 4, 3]
     assert got[3].input_ids == got[2].input_ids
     assert got[4].input_ids == [2, 1, 4, 3, 0, 0]
+    assert got[5].input_ids == got[0].input_ids
     assert all(r.segment_ids == [0] * length for r in out)
 
 
@@ -109,15 +119,17 @@ def test_sub_words(spark):
         encode.sub_words(words, table, max_pieces=3)
 
 
-def test_mean_pool(spark):
-    tokens = spark.createDataFrame(
-        [(1, "a", 3), (1, "b", 1), (1, "?", 9), (2, "b", 2)], "doc int, token string, tf long"
-    )
+@pytest.mark.parametrize("shared_rows", [encode.MAX_SHARED_ROWS, 1])
+def test_mean_pool(spark, monkeypatch, shared_rows):
+    monkeypatch.setattr(encode, "MAX_SHARED_ROWS", shared_rows)
+    rows = [(1, ["a", "?", "a", "b", "a"]), (2, ["b", "b"]), (3, ["?"]), (4, []), (5, None)]
+    docs = spark.createDataFrame(rows, "doc int, tokens array<string>")
     vectors = spark.createDataFrame(
         [("a", [1.0, 0.0]), ("b", [0.0, 2.0])], "token string, vector array<float>"
     )
-    out = encode.mean_pool(tokens, vectors, ["doc"]).collect()
+    out = encode.mean_pool(docs, ["doc"], F.col("tokens"), vectors).collect()
     got = {r.doc: r.pooled.toArray() for r in out}
+    assert set(got) == {1, 2}
     assert np.allclose(got[1], [0.75, 0.5]) and np.allclose(got[2], [0.0, 2.0])
 
 

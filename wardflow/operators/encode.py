@@ -1,15 +1,17 @@
 """Vocabularies, token ids, fixed-length sequences and pooled token vectors.
 
-Tokens are counted per document before any join on the token, so a word that is in
-every text costs one row per document. Joins on the token carry no broadcast hint:
-adaptive execution broadcasts a vocabulary that is small at run time and splits hot
-tokens otherwise.
+Frequencies are counted straight from the token arrays and combined before the shuffle.
+Sequences and pooled vectors need every token of a row: with a vocabulary below the size
+bounds here the look-up goes to the rows, in Arrow batches and without a shuffle; with a
+larger one the tokens are joined. Joins on the token carry no broadcast hint: adaptive
+execution broadcasts a table that is small at run time and splits hot tokens otherwise.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -23,6 +25,9 @@ from wardflow.operators.notes import explode_tokens
 PAD_ID, UNK_ID, CLS_ID, SEP_ID = 0, 1, 2, 3
 FIRST_TOKEN_ID = 4
 UNKNOWN = "[UNK]"
+# a table is sent to all executors only below these bounds
+MAX_SHARED_ROWS = 2**17
+MAX_SHARED_BYTES = 2**28
 MAX_WORD_CHARS = 100
 
 
@@ -31,14 +36,25 @@ def document_tokens(docs: DataFrame, keys: list[str], tokens: Column) -> DataFra
     return explode_tokens(docs, keys, tokens).groupBy(*keys, "token").agg(F.count("*").alias("tf"))
 
 
-def top_vocabulary(token_counts: DataFrame, size: int) -> DataFrame:
+def token_frequencies(docs: DataFrame, tokens: Column) -> DataFrame:
+    """token and ``freq``, its number of occurrences."""
+    rows = explode_tokens(docs, [], tokens)
+    return rows.groupBy("token").agg(F.count("*").alias("freq"))
+
+
+def document_frequencies(docs: DataFrame, tokens: Column) -> DataFrame:
+    """token and ``df``, the number of rows of ``docs`` that have it."""
+    rows = explode_tokens(docs, [], F.array_distinct(tokens))
+    return rows.groupBy("token").agg(F.count("*").alias("df"))
+
+
+def top_vocabulary(frequencies: DataFrame, size: int) -> DataFrame:
     """The ``size`` most frequent tokens with ``freq``, ties by token, and a token_id.
 
     The window numbers at most ``size`` rows.
     """
-    freq = token_counts.groupBy("token").agg(F.sum("tf").alias("freq"))
     order = [F.desc("freq"), F.asc("token")]
-    top = freq.orderBy(*order).limit(size)
+    top = frequencies.orderBy(*order).limit(size)
     place = F.row_number().over(W.partitionBy().orderBy(*order))
     return top.withColumn("token_id", (place + FIRST_TOKEN_ID - 1).cast("int"))
 
@@ -53,8 +69,42 @@ def token_vectors(tokens: DataFrame, vectors: DataFrame) -> DataFrame:
     return tokens.join(vectors, "token", "left")
 
 
-def mean_pool(tokens: DataFrame, vectors: DataFrame, keys: list[str]) -> DataFrame:
-    """Mean vector of the known tokens of each document, weighted by ``tf``."""
+def mean_pool(docs: DataFrame, keys: list[str], tokens: Column, vectors: DataFrame) -> DataFrame:
+    """keys and ``pooled``, the mean vector of the known tokens of each row.
+
+    ``keys`` identify a row. Rows without a known token are dropped.
+    """
+    size = vectors.agg(F.count("*").alias("n"), F.max(F.size("vector")).alias("dim")).first()
+    if size.n and size.n <= MAX_SHARED_ROWS and size.n * size.dim * 8 <= MAX_SHARED_BYTES:
+        return _mean_pool_in_rows(docs, keys, tokens, vectors)
+    return mean_pool_by_join(document_tokens(docs, keys, tokens), vectors, keys)
+
+
+def _mean_pool_in_rows(
+    docs: DataFrame, keys: list[str], tokens: Column, vectors: DataFrame
+) -> DataFrame:
+    table = vectors.select("token", "vector").collect()
+    place = {r.token: i for i, r in enumerate(table)}
+    matrix = np.array([r.vector for r in table], dtype="float64")
+    shared = vectors.sparkSession.sparkContext.broadcast((place, matrix))
+
+    @F.pandas_udf("array<double>")
+    def pool(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        place, matrix = shared.value
+
+        def mean(words):
+            known = [place[w] for w in words if w in place] if words is not None else []
+            return matrix[known].mean(axis=0) if known else None
+
+        for rows in batches:
+            yield rows.map(mean, na_action=None)
+
+    pooled = docs.select(*keys, pool(tokens).alias("_mean")).where(F.col("_mean").isNotNull())
+    return pooled.select(*keys, array_to_vector("_mean").alias("pooled"))
+
+
+def mean_pool_by_join(tokens: DataFrame, vectors: DataFrame, keys: list[str]) -> DataFrame:
+    """The same from (document, token, tf) rows, for a vector table of any size."""
     known = tokens.join(vectors, "token")
     mean = Summarizer.mean(
         array_to_vector(F.col("vector").cast("array<double>")), F.col("tf").cast("double")
@@ -92,17 +142,16 @@ def encode_sequences(
 ) -> DataFrame:
     """input_ids, input_mask and segment_ids of exactly ``length`` integers.
 
-    The tokens of a row are cut to ``length - 2`` before they are looked up, so the
-    array gathered per row is bounded. Rows without tokens stay.
+    ``keys`` identify a row. The tokens of a row are cut to ``length - 2`` before they are
+    looked up. Rows without tokens stay.
     """
     cut = docs.select(*keys, F.slice(tokens, 1, length - 2).alias("_tokens"))
-    placed = cut.select(*keys, F.posexplode_outer("_tokens").alias("_pos", "token"))
-    looked_up = token_ids(placed, vocabulary)
-    entry = F.when(F.col("_pos").isNotNull(), F.struct("_pos", "token_id"))
-    gathered = looked_up.groupBy(*keys).agg(F.sort_array(F.collect_list(entry)).alias("_ids"))
-    body = F.transform("_ids", lambda e: e["token_id"])
-    framed = gathered.select(
-        *keys, F.concat(F.array(F.lit(CLS_ID)), body, F.array(F.lit(SEP_ID))).alias("_seq")
+    table = vocabulary.select("token", "token_id")
+    known = table.limit(MAX_SHARED_ROWS + 1).collect()
+    small = len(known) <= MAX_SHARED_ROWS
+    bodies = _ids_in_rows(cut, known) if small else ids_by_join(cut, keys, table)
+    framed = bodies.select(
+        *keys, F.concat(F.array(F.lit(CLS_ID)), "_ids", F.array(F.lit(SEP_ID))).alias("_seq")
     )
     used = F.size("_seq")
     return framed.select(
@@ -113,6 +162,32 @@ def encode_sequences(
     )
 
 
+def _ids_in_rows(cut: DataFrame, known: list) -> DataFrame:
+    shared = cut.sparkSession.sparkContext.broadcast({r.token: r.token_id for r in known})
+
+    @F.pandas_udf("array<int>")
+    def look_up(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        ids = shared.value
+        for rows in batches:
+            yield rows.map(lambda words: [ids.get(w, UNK_ID) for w in words])
+
+    filled = F.coalesce("_tokens", F.array().cast("array<string>"))
+    return cut.withColumn("_ids", look_up(filled))
+
+
+def ids_by_join(cut: DataFrame, keys: list[str], table: DataFrame) -> DataFrame:
+    """keys and ``_ids`` through a join, for a vocabulary of any size.
+
+    The array gathered per row is as long as its cut tokens.
+    """
+    placed = cut.select(*keys, F.posexplode_outer("_tokens").alias("_pos", "token"))
+    entry = F.when(F.col("_pos").isNotNull(), F.struct("_pos", "token_id"))
+    gathered = token_ids(placed, table).groupBy(*keys)
+    return gathered.agg(
+        F.transform(F.sort_array(F.collect_list(entry)), lambda e: e["token_id"]).alias("_ids")
+    )
+
+
 def example_ids(rows: DataFrame, set_name: str) -> DataFrame:
     """``guid`` = "{set}-{index}" from an ``index`` column."""
     return rows.withColumn("guid", F.concat_ws("-", F.lit(set_name), F.col("index").cast("string")))

@@ -15,11 +15,10 @@ from pyspark.ml.feature import (
     Tokenizer,
     Word2Vec,
 )
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardflow.functions.text import CLINICAL_STOP_WORDS
-from wardflow.operators.encode import top_vocabulary
 from wardflow.operators.ordering import running_sums
 
 LARGE_VOCABULARY = 2**16
@@ -70,26 +69,21 @@ def word2vec_stages(
 
 
 def inverse_document_frequency(
-    term_counts: DataFrame, n_documents, min_documents: int = MIN_DOCUMENTS
+    document_frequencies: DataFrame, n_documents: Column, min_documents: int = MIN_DOCUMENTS
 ) -> DataFrame:
     """token, df and idf = ln((m + 1) / (df + 1)), which is 0 for rare terms.
 
     ``n_documents`` (m) counts all documents, those without terms included.
     """
-    per_token = term_counts.groupBy("token").agg(F.count("*").alias("df"))
     idf = F.log((n_documents + 1) / (F.col("df") + 1))
-    return per_token.withColumn("idf", F.when(F.col("df") >= min_documents, idf).otherwise(0.0))
+    rare = F.col("df") < min_documents
+    return document_frequencies.withColumn("idf", F.when(rare, 0.0).otherwise(idf))
 
 
-def term_weights(
-    term_counts: DataFrame, n_documents, vocabulary_size: int = LARGE_VOCABULARY
-) -> DataFrame:
-    """Document, token, tf and tfidf for the tokens of the top vocabulary."""
-    vocabulary = top_vocabulary(term_counts, vocabulary_size).select("token")
-    idf = inverse_document_frequency(term_counts, n_documents).join(vocabulary, "token", "left_semi")
-    return term_counts.join(idf.select("token", "idf"), "token").withColumn(
-        "tfidf", F.col("tf") * F.col("idf")
-    )
+def term_weights(term_counts: DataFrame, idf: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """Document, token, tf and tfidf for the tokens of the vocabulary."""
+    wanted = idf.join(vocabulary.select("token"), "token", "left_semi").select("token", "idf")
+    return term_counts.join(wanted, "token").withColumn("tfidf", F.col("tf") * F.col("idf"))
 
 
 def label_as_double(df: DataFrame, label: str = "Label") -> DataFrame:

@@ -12,6 +12,7 @@ from wardflow.operators.classify import train_and_report
 from wardflow.operators.evaluate import chunk_evaluation, curve_metrics, vote_scores
 from wardflow.operators.notes import clean_notes, segment_labelled_notes
 from wardflow.operators.sampling import class_balance
+from wardflow.sources.shared import materialised
 from wardflow.sources.sinks import report_lines
 
 ADMISSION_TYPES = ["ELECTIVE", "EMERGENCY", "NEWBORN", "URGENT"]
@@ -36,8 +37,13 @@ def readmission_etl(source: DataFrame, n_days: int = 30) -> DataFrame:
 
 
 def training_data(source: DataFrame, n_days: int = 30, seed: int = 1) -> DataFrame:
-    """Chunks with ``split`` = train, val or test, balanced by class."""
-    return class_balance(segment_labelled_notes(readmission_etl(source, n_days)), n_days, seed)
+    """Chunks with ``split`` = train, val or test, balanced by class.
+
+    The chunks are written once: ranking the ids then reads two columns of them, and the
+    text is cleaned only once.
+    """
+    chunks = materialised(segment_labelled_notes(readmission_etl(source, n_days)))
+    return class_balance(chunks, n_days, seed)
 
 
 def train_and_evaluate(

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import functools
 
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from wardflow.functions.text import clean_note, default_stop_words, space_tokens, without_stop_words
-from wardflow.operators import classify, encode, evaluate, features, profile, sampling
+from wardflow.functions.text import space_tokens
+from wardflow.operators import classify, encode, evaluate, features, sampling
 from wardflow.plans import jobs
 from wardflow.registry.profiles import describe_sql
 from wardflow.registry.query import Query
@@ -20,6 +20,7 @@ from wardflow.registry.relational import (
     doc_terms,
     id_labels,
     src,
+    vocabulary,
 )
 from wardflow.registry.tables import gap_label
 from wardflow.sources import shared, standin
@@ -202,27 +203,21 @@ EVALUATION = [
 # features ----------------------------------------------------------------------------
 
 
-def _stopless_terms(spark, d):
-    tokens = without_stop_words(space_tokens(F.col("TEXT")), default_stop_words())
-    return encode.document_tokens(clean_docs(spark, d), ["doc_id", "Label"], tokens)
-
-
 def ml1(spark, d):
-    terms = doc_terms(spark, d)
-    vocabulary = encode.top_vocabulary(terms, features.SMALL_VOCABULARY).select("token")
-    return terms.join(vocabulary, "token", "left_semi")
-
-
-def n_docs(spark, d):
-    return standin.labelled_docs(spark, d).agg(F.count("*")).scalar()
+    kept = vocabulary(spark, d).select("token")
+    return doc_terms(spark, d).join(kept, "token", "left_semi")
 
 
 def ml2(spark, d):
-    return features.inverse_document_frequency(doc_terms(spark, d), n_docs(spark, d))
+    docs = clean_docs(spark, d)
+    n_documents = docs.agg(F.count("*")).scalar()
+    return features.inverse_document_frequency(
+        encode.document_frequencies(docs, space_tokens(F.col("TEXT"))), n_documents
+    )
 
 
 def weights(spark, d):
-    return features.term_weights(doc_terms(spark, d), n_docs(spark, d), features.SMALL_VOCABULARY)
+    return features.term_weights(doc_terms(spark, d), ml2(spark, d), vocabulary(spark, d))
 
 
 def ml3(spark, d):
@@ -365,13 +360,16 @@ def ml10(spark, d):
     return functools.reduce(lambda a, b: a.unionByName(b), out)
 
 
-def _search(spark, d):
-    """A small part of the grid over shared features."""
+def _search(spark, d, *axes):
+    """Some axes of the grid over shared features."""
     train_set = parts(spark, d)["train"]
-    shared = small_tfidf(train_set).transform(train_set).select("Label", "features")
+    rows = small_tfidf(train_set).transform(train_set).select("Label", "features")
     classifier = classify.logistic()
-    grid = classify.regression_grid(classifier, (1e-3, 1e-2), (5,), (0.0, 0.5))
-    return classify.cross_validate(classifier, grid, shared, folds=2)
+    grid = classify.regression_grid(classifier, *axes)
+    return classify.grid_metrics(spark, classify.cross_validate(classifier, grid, rows, folds=2))
+
+
+SMALL_GRID = ((1e-3, 1e-2), (5,), (0.0, 0.5))
 
 
 def ml13(spark, d):
@@ -384,9 +382,9 @@ def ml13(spark, d):
 
 
 def ml15(spark, d):
-    tokens = doc_terms(spark, d)
     vectors = standin.vector_table(spark, d)
-    pooled = encode.mean_pool(tokens, vectors, ["doc_id", "Label"])
+    tokens = space_tokens(F.col("TEXT"))
+    pooled = encode.mean_pool(clean_docs(spark, d), ["doc_id", "Label"], tokens, vectors)
     whole = F.lit(0).alias("chunk_no")
     rows = shared.materialised(
         pooled.select("doc_id", whole, "Label", F.col("pooled").alias("features"))
@@ -426,13 +424,18 @@ MODELS = [
     Query(
         "ml12_grid_metrics",
         "regParam:d, maxIter:d, elasticNetParam:d, fMeasureByLabel:d",
-        lambda s, d: classify.grid_metrics(s, _search(s, d)),
+        lambda s, d: _search(s, d, classify.REG_PARAMS, (5,), (0.5,)),
     ),
     Query("ml13_cross_validated_scores", SCORE_COLUMNS, ml13),
     Query(
-        "ml14_best_parameters",
+        "ml14_cross_validation_table",
+        "regParam:d, maxIter:d, elasticNetParam:d, fMeasureByLabel:d",
+        lambda s, d: _search(s, d, *SMALL_GRID),
+    ),
+    Query(
+        "so4_best_parameters",
         "regParam:d, maxIter:d, elasticNetParam:d, fMeasureByLabel:d",
-        lambda s, d: classify.best_point(classify.grid_metrics(s, _search(s, d))),
+        lambda s, d: classify.best_point(_search(s, d, *SMALL_GRID)),
     ),
     Query("ml15_pooled_perceptron_scores", SCORE_COLUMNS, ml15),
     Query(

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from wardflow.functions.text import space_tokens
 from wardflow.operators import cohort, encode, evaluate, profile
-from wardflow.operators.notes import clean_notes
 from wardflow.plans import jobs
 from wardflow.registry.query import Query
 from wardflow.registry.relational import (
+    clean_docs,
     cohort_chunks,
-    doc_terms,
     gaps,
     labelled,
     noted_cohort,
@@ -92,7 +92,9 @@ def ag8_types(spark, d):
 
 
 def ag19(spark, d):
-    pooled = encode.mean_pool(doc_terms(spark, d), standin.vector_table(spark, d), ["doc_id"])
+    tokens = space_tokens(F.col("TEXT"))
+    vectors = standin.vector_table(spark, d)
+    pooled = encode.mean_pool(clean_docs(spark, d), ["doc_id"], tokens, vectors)
     return encode.pooled_values(pooled, ["doc_id"])
 
 

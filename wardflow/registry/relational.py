@@ -511,14 +511,18 @@ def doc_terms(spark, d):
     )
 
 
+def vocabulary(spark, d):
+    frequencies = encode.token_frequencies(clean_docs(spark, d), T.space_tokens(F.col("TEXT")))
+    return encode.top_vocabulary(frequencies, features.SMALL_VOCABULARY)
+
+
 def jn5(spark, d):
     joined = encode.token_vectors(doc_terms(spark, d), standin.vector_table(spark, d))
     return joined.withColumn("first_value", F.try_element_at("vector", F.lit(1)))
 
 
 def jn6(spark, d):
-    terms = doc_terms(spark, d)
-    return encode.token_ids(terms, encode.top_vocabulary(terms, features.SMALL_VOCABULARY))
+    return encode.token_ids(doc_terms(spark, d), vocabulary(spark, d))
 
 
 def jn7(spark, d):
@@ -696,7 +700,7 @@ SORTS_AND_SETS = [
     Query(
         "so5_top_vocabulary",
         "token:s, freq:i, token_id:i",
-        lambda s, d: encode.top_vocabulary(doc_terms(s, d), features.SMALL_VOCABULARY),
+        vocabulary,
         "SELECT * FROM vocabulary",
         ("vocabulary",),
     ),

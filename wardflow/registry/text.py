@@ -6,17 +6,16 @@ from pyspark.sql import functions as F
 
 from wardflow.functions import labels as L
 from wardflow.functions import text as T
-from wardflow.operators import cohort, encode, features
+from wardflow.operators import encode
 from wardflow.operators.notes import chunk_notes, clean_notes
 from wardflow.registry.query import Query
 from wardflow.registry.relational import (
     clean_docs,
     cohort_chunks,
     digest,
-    doc_terms,
     docs,
     noted_cohort,
-    src,
+    vocabulary,
 )
 from wardflow.registry.tables import chunk_sql, clean_sql
 from wardflow.sources import readers, standin
@@ -34,10 +33,6 @@ def _stop_list(words) -> str:
     return ", ".join("'" + w.replace("'", "''") + "'" for w in words)
 
 
-def _default_list(spark) -> list[str]:
-    return T.default_stop_words()
-
-
 # fixed values: the public English stop-word list of Spark ML, for the SQL side
 ENGLISH = (
     "i me my myself we our ours ourselves you your yours yourself yourselves he him his himself "
@@ -168,10 +163,9 @@ def ma2(spark, d):
 
 def ar1(spark, d):
     chunks = standin.labelled_chunks(spark, d)
-    vocabulary = encode.top_vocabulary(doc_terms(spark, d), features.SMALL_VOCABULARY)
     keys = ["doc_id", "chunk_no"]
     rows = encode.encode_sequences(
-        chunks, keys, T.space_tokens(F.col("TEXT")), vocabulary, SEQUENCE_LENGTH
+        chunks, keys, T.space_tokens(F.col("TEXT")), vocabulary(spark, d), SEQUENCE_LENGTH
     )
     return rows.select(*keys, *[F.array_join(c, " ").alias(c) for c in SEQUENCE_COLUMNS])
 
@@ -181,10 +175,9 @@ SEQUENCE_COLUMNS = ["input_ids", "input_mask", "segment_ids"]
 
 def ar2(spark, d):
     """Pieces: the top vocabulary, and every character of the tokens as a continuation."""
-    terms = doc_terms(spark, d)
-    words = encode.top_vocabulary(terms, features.SMALL_VOCABULARY).select(
-        F.col("token").alias("piece")
-    )
+    tokens = T.space_tokens(F.col("TEXT"))
+    terms = encode.token_frequencies(clean_docs(spark, d), tokens)
+    words = vocabulary(spark, d).select(F.col("token").alias("piece"))
     characters = terms.select(F.explode(F.split("token", "")).alias("c")).distinct()
     starts = characters.select(F.col("c").alias("piece"))
     continued = characters.select(F.concat(F.lit("##"), "c").alias("piece"))

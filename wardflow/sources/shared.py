@@ -1,4 +1,4 @@
-"""The folder all executors can reach, and frames cut off from their lineage."""
+"""The folder all executors can reach, and tables written there once for many readers."""
 
 from __future__ import annotations
 
@@ -16,9 +16,7 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-    folder = tempfile.mkdtemp(prefix="wardflow-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    return tempfile.mkdtemp(prefix="wardflow-")
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
@@ -27,7 +25,12 @@ def shared_path(spark: SparkSession, name: str) -> str:
 
 
 def materialised(df: DataFrame) -> DataFrame:
-    """The frame computed once into the shared folder, for plans that read it many times."""
-    if df.sparkSession.sparkContext.getCheckpointDir() is None:
-        df.sparkSession.sparkContext.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
+    """The frame written once to the shared folder and read back.
+
+    For plans that read it several times: the lineage ends at the table, and each reader
+    takes only its columns.
+    """
+    spark = df.sparkSession
+    path = shared_path(spark, "table")
+    df.write.parquet(path)
+    return spark.read.parquet(path)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wardflow.sources.readers import null_guard
 
+CSV_ROWS_PER_FILE = 100_000
 LABELLED_COLUMNS = {"SUBJECT_ID": "int", "HADM_ID": "int", "LABEL": "int", "TEXT": "string"}
 
 
@@ -21,13 +22,18 @@ def write_labelled_notes(notes: DataFrame, folder: str, n_days: int) -> str:
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ",", partition: str | None = None) -> str:
-    """CSV with header and doubled quotes, readable by ``csv_table`` and by pandas."""
+    """CSV with header and doubled quotes, readable by ``csv_table`` and by pandas.
+
+    Fields may hold line breaks, so a file is read by one task; the rows per file are
+    bounded for that reason.
+    """
     writer = (
         df.write.mode("overwrite")
         .option("header", True)
         .option("sep", sep)
         .option("quote", '"')
         .option("escape", '"')
+        .option("maxRecordsPerFile", CSV_ROWS_PER_FILE)
     )
     if partition is not None:
         writer = writer.partitionBy(partition)
