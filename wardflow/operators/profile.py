@@ -51,8 +51,10 @@ def distinct_counts(df: DataFrame, keys: list[str], columns: dict[str, Column])
     return df.groupBy(*keys).agg(*[F.count_distinct(e).alias(n) for n, e in columns.items()])
 
 
-def length_by_label(notes: DataFrame, label: str = "OUTPUT_LABEL") -> DataFrame:
-    size = F.length("TEXT")
+def length_by_label(
+    notes: DataFrame, label: str = "OUTPUT_LABEL", length: str = "note_len"
+) -> DataFrame:
+    size = F.col(length)
     return notes.groupBy(label).agg(
         F.min(size).alias("min_len"), F.max(size).alias("max_len"), F.avg(size).alias("mean_len")
     )

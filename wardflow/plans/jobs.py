@@ -70,10 +70,15 @@ def vote_report(chunk_scores: DataFrame) -> DataFrame:
 
 
 def cohort_profile(source: DataFrame, demographics: DataFrame) -> dict[str, DataFrame]:
-    """The frames of the exploratory report, by name."""
-    rows = extract_readmission(source, 30)
-    half_year = horizon_label(F.col("DAYS_NEXT_ADMIT"), 180).alias("OUTPUT_LABEL_180")
-    rows = rows.withColumn("note_len", F.length("TEXT")).select("*", half_year)
+    """The frames of the exploratory report, by name.
+
+    The cohort is written once, with the length of each note in place of its text.
+    """
+    half_year = horizon_label(F.col("DAYS_NEXT_ADMIT"), 180)
+    noted = extract_readmission(source, 30).withColumns(
+        {"note_len": F.length("TEXT"), "OUTPUT_LABEL_180": half_year}
+    )
+    rows = materialised(noted.drop("TEXT"))
     people = profile.with_demographics(rows, profile.demographic_columns(demographics))
     adults = profile.plausible_age(people)
     return {
