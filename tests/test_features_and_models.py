@@ -119,9 +119,9 @@ def test_sub_words(spark):
         encode.sub_words(words, table, max_pieces=3)
 
 
-@pytest.mark.parametrize("shared_rows", [encode.MAX_SHARED_ROWS, 1])
-def test_mean_pool(spark, monkeypatch, shared_rows):
-    monkeypatch.setattr(encode, "MAX_SHARED_ROWS", shared_rows)
+@pytest.mark.parametrize("shared_bytes", [encode.MAX_SHARED_BYTES, 1])
+def test_mean_pool(spark, monkeypatch, shared_bytes):
+    monkeypatch.setattr(encode, "MAX_SHARED_BYTES", shared_bytes)
     rows = [(1, ["a", "?", "a", "b", "a"]), (2, ["b", "b"]), (3, ["?"]), (4, []), (5, None)]
     docs = spark.createDataFrame(rows, "doc int, tokens array<string>")
     vectors = spark.createDataFrame(

@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -27,7 +26,7 @@ FIRST_TOKEN_ID = 4
 UNKNOWN = "[UNK]"
 # a table is sent to all executors only below these bounds
 MAX_SHARED_ROWS = 2**17
-MAX_SHARED_BYTES = 2**28
+MAX_SHARED_BYTES = 2**26
 MAX_WORD_CHARS = 100
 
 
@@ -74,18 +73,21 @@ def mean_pool(docs: DataFrame, keys: list[str], tokens: Column, vectors: DataFra
 
     ``keys`` identify a row. Rows without a known token are dropped.
     """
-    size = vectors.agg(F.count("*").alias("n"), F.max(F.size("vector")).alias("dim")).first()
-    if size.n and size.n <= MAX_SHARED_ROWS and size.n * size.dim * 8 <= MAX_SHARED_BYTES:
-        return _mean_pool_in_rows(docs, keys, tokens, vectors)
+    dim = F.size("vector")
+    shape = vectors.agg(
+        F.count("*").alias("n"), F.min(dim).alias("least"), F.max(dim).alias("most")
+    ).first()
+    if shape.n and shape.least == shape.most and shape.n * shape.most * 8 <= MAX_SHARED_BYTES:
+        return _mean_pool_in_rows(docs, keys, tokens, vectors, shape.most)
     return mean_pool_by_join(document_tokens(docs, keys, tokens), vectors, keys)
 
 
 def _mean_pool_in_rows(
-    docs: DataFrame, keys: list[str], tokens: Column, vectors: DataFrame
+    docs: DataFrame, keys: list[str], tokens: Column, vectors: DataFrame, dim: int
 ) -> DataFrame:
-    table = vectors.select("token", "vector").collect()
-    place = {r.token: i for i, r in enumerate(table)}
-    matrix = np.array([r.vector for r in table], dtype="float64")
+    table = vectors.select("token", F.col("vector").cast("array<double>")).toArrow()
+    place = {token: i for i, token in enumerate(table["token"].to_pylist())}
+    matrix = table["vector"].combine_chunks().flatten().to_numpy().reshape(-1, dim)
     shared = vectors.sparkSession.sparkContext.broadcast((place, matrix))
 
     @F.pandas_udf("array<double>")
@@ -99,7 +101,9 @@ def _mean_pool_in_rows(
         for rows in batches:
             yield rows.map(mean, na_action=None)
 
-    pooled = docs.select(*keys, pool(tokens).alias("_mean")).where(F.col("_mean").isNotNull())
+    # kept out of the filter below, where Catalyst would run it a second time
+    once = pool.asNondeterministic()
+    pooled = docs.select(*keys, once(tokens).alias("_mean")).where(F.col("_mean").isNotNull())
     return pooled.select(*keys, array_to_vector("_mean").alias("pooled"))
 
 

@@ -382,7 +382,7 @@ def ml13(spark, d):
 
 
 def ml15(spark, d):
-    vectors = standin.vector_table(spark, d)
+    vectors = shared.materialised(standin.vector_table(spark, d))
     tokens = space_tokens(F.col("TEXT"))
     pooled = encode.mean_pool(clean_docs(spark, d), ["doc_id", "Label"], tokens, vectors)
     whole = F.lit(0).alias("chunk_no")

@@ -16,7 +16,7 @@ from wardflow.registry.relational import (
     noted_cohort,
     src,
 )
-from wardflow.sources import standin
+from wardflow.sources import shared, standin
 
 SUMMARY = "count:i, mean:d, std:d, min:d, q25:d, q50:d, q75:d, max:d"
 
@@ -93,7 +93,7 @@ def ag8_types(spark, d):
 
 def ag19(spark, d):
     tokens = space_tokens(F.col("TEXT"))
-    vectors = standin.vector_table(spark, d)
+    vectors = shared.materialised(standin.vector_table(spark, d))
     pooled = encode.mean_pool(clean_docs(spark, d), ["doc_id"], tokens, vectors)
     return encode.pooled_values(pooled, ["doc_id"])
 
