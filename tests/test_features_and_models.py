@@ -108,15 +108,22 @@ def test_sequences(spark, monkeypatch, shared_rows):
     assert all(r.segment_ids == [0] * length for r in out)
 
 
-def test_sub_words(spark):
-    pieces = ["un", "##aff", "##able", "un##", "aff"]
+@pytest.mark.parametrize("shared_rows", [encode.MAX_SHARED_ROWS, 1])
+def test_sub_words(spark, monkeypatch, shared_rows):
+    monkeypatch.setattr(encode, "MAX_SHARED_ROWS", shared_rows)
+    pieces = ["un", "##aff", "##able", "un##", "aff", "é"]
     table = spark.createDataFrame([(p,) for p in pieces], "piece string")
-    words = spark.createDataFrame([("unaffable",), ("affx",), ("u" * 101,)], "token string")
+    rows = [("unaffable",), ("affx",), ("u" * 101,), ("",), ("é",), ("affaff",), ("é",)]
+    words = spark.createDataFrame(rows, "token string")
     got = {r.token: r.pieces for r in encode.sub_words(words, table).collect()}
-    assert got["unaffable"] == ["un", "##aff", "##able"]
-    assert got["affx"] == ["[UNK]"] and got["u" * 101] == ["[UNK]"]
-    with pytest.raises(ValueError):
-        encode.sub_words(words, table, max_pieces=3)
+    assert got == {
+        "unaffable": ["un", "##aff", "##able"],
+        "affx": ["[UNK]"],
+        "u" * 101: ["[UNK]"],
+        "": [],
+        "é": ["é"],
+        "affaff": ["aff", "##aff"],
+    }
 
 
 @pytest.mark.parametrize("shared_bytes", [encode.MAX_SHARED_BYTES, 1])

@@ -219,22 +219,50 @@ def longest_match(word: str, pieces: set[str]) -> list[str]:
     return found
 
 
-def sub_words(tokens: DataFrame, pieces: DataFrame, max_pieces: int = 65_536) -> DataFrame:
-    """``pieces`` (array) per distinct token of ``tokens``.
+def sub_words(tokens: DataFrame, pieces: DataFrame) -> DataFrame:
+    """``pieces`` (array) per distinct token of ``tokens``; each is cut once.
 
-    Each distinct token is cut once, in Arrow batches. The piece table is a model
-    vocabulary: it goes to the executors as one set, and more than ``max_pieces`` rows
-    are refused.
+    A piece table below the row bound goes to the executors as one set. With a larger one
+    each token first finds the pieces that occur in it by a join.
     """
-    rows = pieces.select("piece").limit(max_pieces + 1).collect()
-    if len(rows) > max_pieces:
-        raise ValueError(f"the piece table has more than {max_pieces} rows")
+    words = tokens.select("token").distinct()
+    rows = pieces.select("piece").limit(MAX_SHARED_ROWS + 1).collect()
+    if len(rows) > MAX_SHARED_ROWS:
+        return _sub_words_by_join(words, pieces)
     shared = pieces.sparkSession.sparkContext.broadcast({r.piece for r in rows})
 
     @F.pandas_udf("array<string>")
     def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         known = shared.value
-        for words in batches:
-            yield words.map(lambda w: longest_match(w, known))
+        for batch in batches:
+            yield batch.map(lambda word: longest_match(word, known))
 
-    return tokens.select("token").distinct().withColumn("pieces", cut("token"))
+    return words.withColumn("pieces", cut("token"))
+
+
+def _sub_words_by_join(words: DataFrame, pieces: DataFrame) -> DataFrame:
+    size = F.length("token")
+    spans = (
+        words.where(size.between(1, MAX_WORD_CHARS))
+        .select("token", F.explode(F.sequence(F.lit(1), size)).alias("_from"))
+        .select("*", F.explode(F.sequence(F.col("_from"), size)).alias("_to"))
+    )
+    span = F.substring("token", F.col("_from"), F.col("_to") - F.col("_from") + 1)
+    prefix = F.when(F.col("_from") > 1, "##").otherwise("")
+    # at most one row per pair of places in a word of bounded length
+    found = (
+        spans.select("token", F.concat(prefix, span).alias("piece"))
+        .join(pieces.select("piece"), "piece", "left_semi")
+        .groupBy("token")
+        .agg(F.collect_set("piece").alias("_known"))
+    )
+
+    @F.pandas_udf("array<string>")
+    def cut(tokens: pd.Series, known: pd.Series) -> pd.Series:
+        return pd.Series(
+            [longest_match(w, set() if k is None else set(k)) for w, k in zip(tokens, known)]
+        )
+
+    return words.join(found, "token", "left").select(
+        "token", cut("token", "_known").alias("pieces")
+    )
