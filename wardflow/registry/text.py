@@ -13,7 +13,6 @@ from wardflow.registry.relational import (
     clean_docs,
     cohort_chunks,
     digest,
-    docs,
     noted_cohort,
     vocabulary,
 )
