@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm import lines, minhash, mixing, packing, quality
+from wardflow.llm import lines, minhash, mixing, packing, quality, secrets, sharding, simhash, suffix_tree, topk
 from wardflow.llm.common import fold, table, text_of
 
 THRESHOLD = 0.3
@@ -19,6 +19,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.search(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     model, figures = quality.fit(docs, labels)
@@ -34,6 +38,15 @@ def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return lines.dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", kept.alias("kept_sha256"))
 
 
+def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.shard_digests(table(spark, folder, "documents"))
+
+
+def op5_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return simhash.edited_likeness(docs).drop("fp")
+
+
 def op6_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     kept = F.col("doc_id").eqNullSafe(F.col("component_id"))
@@ -50,12 +63,28 @@ def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "source", "lang", "text", "n_chars", *mixing.ADDED)
 
 
+def op9_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, folder, "documents"))
+    counts = [secrets.count_of(F.col("base"), k).alias(f"n_{k}") for k in secrets.KINDS[:3]]
+    digest = F.sha2(secrets.as_text(F.col("base")).cast("binary"), 256)
+    return found.select("doc_id", *counts, digest.alias("base_sha256"), secrets.as_text(F.col("spans")).alias("spans"))
+
+
+def op10_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_tree.fit_and_score(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_top_k": op1_top_k,
     "op2_quality": op2_quality,
     "op3_line_dedup": op3_line_dedup,
+    "op4_sharding": op4_sharding,
+    "op5_fingerprints": op5_fingerprints,
     "op6_near_dedup": op6_near_dedup,
     "op7_packing": op7_packing,
     "op8_mixing": op8_mixing,
+    "op9_secrets": op9_secrets,
+    "op10_lm_scores": op10_lm_scores,
 }
 
 #: DuckDB forms of the queries that SQL can express.
