@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm import lines, minhash, mixing, packing, quality, secrets, sharding, simhash, suffix_tree, topk
+from wardflow.llm import lines, minhash, mixing, oracles, packing, quality, secrets, sharding, simhash, suffix_tree, topk
 from wardflow.llm.common import fold, table, text_of
 
 THRESHOLD = 0.3
@@ -60,7 +60,8 @@ def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
-    return mixing.mix(docs).select("doc_id", "source", "lang", "text", "n_chars", *mixing.ADDED)
+    mixed = mixing.mix(docs).withColumn("rate", F.round("rate", 9))
+    return mixed.select("doc_id", "source", "lang", "text", "n_chars", *mixing.ADDED)
 
 
 def op9_secrets(spark: SparkSession, folder: str) -> DataFrame:
@@ -87,5 +88,4 @@ ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_lm_scores": op10_lm_scores,
 }
 
-#: DuckDB forms of the queries that SQL can express.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = oracles.ALL
