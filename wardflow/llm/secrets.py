@@ -104,29 +104,23 @@ def _tail(z: Column) -> Column:
     return F.when(z >= 0, upper).otherwise(1 - upper)
 
 
-def _codes(value: Column, alphabet: str) -> Column:
-    return F.transform(
-        F.split(value, ""), lambda c: F.instr(F.lit(alphabet), c) - 1
-    )
-
-
 def _sum(values: Column, of) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda total, x: total + of(x))
 
 
-def _p_value(codes: Column, m: int) -> Column:
+def _p_value(codes: Column, m: Column) -> Column:
     """Three times the smallest p-value of the battery."""
-    n = F.size(codes).cast("double")
-    counts = F.transform(F.sequence(F.lit(0), F.lit(m - 1)), lambda k: F.size(F.filter(codes, lambda c: c == k)))
+    n, middle = F.size(codes).cast("double"), F.floor(m / 2)
+    counts = F.transform(F.sequence(F.lit(0), m - 1), lambda k: F.size(F.filter(codes, lambda c: c == k)))
     chi = _sum(counts, lambda c: c * c.cast("double")) * m / n - n
     z_uniform = (chi - (m - 1)) / F.sqrt(2 * (m - 1) * (n - 1) / n)
-    ups = F.size(F.filter(codes, lambda c: c >= m // 2)).cast("double")
+    ups = F.size(F.filter(codes, lambda c: c >= middle)).cast("double")
     pairs = F.zip_with(
         F.slice(codes, 1, F.size(codes) - 1),
         F.slice(codes, 2, F.size(codes) - 1),
         lambda x, y: F.struct(x.alias("x"), y.alias("y")),
     )
-    turns = F.size(F.filter(pairs, lambda p: (p["x"] >= m // 2) != (p["y"] >= m // 2))).cast("double") + 1
+    turns = F.size(F.filter(pairs, lambda p: (p["x"] >= middle) != (p["y"] >= middle))).cast("double") + 1
     twice = 2 * ups * (n - ups)
     spread = F.sqrt(F.greatest(twice * (twice - n), F.lit(0.0)) / (n * n * (n - 1)))
     z_runs = F.when(spread > 0, (turns - twice / n - 1) / spread).otherwise(F.lit(9.0))
@@ -141,20 +135,24 @@ def _p_value(codes: Column, m: int) -> Column:
     return F.least(F.lit(1.0), 3 * p)
 
 
-def _battery(m: int):
-    return lambda codes: _p_value(codes, m)
-
-
 def _tested(span: Column) -> Column:
     """The span with its encoding's number (-1: none), its class and the bin of its p-value."""
     bare = F.regexp_replace(span["value"], "=+$", "")
     mixed = bare.rlike("[0-9]") & bare.rlike("[A-Za-z]")
-    number, p = F.lit(-1), F.lit(1.0)
+    number = F.lit(-1)
     for i, (_, pattern, alphabet) in reversed(list(enumerate(ENCODINGS))):
-        folded = F.lower(bare) if i == 0 else bare
-        fits = mixed & span["value"].rlike(f"^({pattern})$") & (F.length(bare) >= least_length(len(alphabet)))
+        fits = span["value"].rlike(f"^({pattern})$") & (F.length(bare) >= least_length(len(alphabet)))
         number = F.when(fits, i).otherwise(number)
-        p = F.when(fits, _let(_codes(folded, alphabet), _battery(len(alphabet)))).otherwise(p)
+    number = F.when(mixed, number).otherwise(-1)
+    return _let(number, lambda known: _weighed(span, bare, known))
+
+
+def _weighed(span: Column, bare: Column, number: Column) -> Column:
+    alphabet = F.get(F.array(*[F.lit(a) for _, _, a in ENCODINGS]), number)
+    folded = F.when(number == 0, F.lower(bare)).otherwise(bare)
+    codes = F.transform(F.split(folded, ""), lambda c: F.instr(alphabet, c) - 1)
+    tested = _let(codes, lambda c: _let(F.length(alphabet), lambda m: _p_value(c, m)))
+    p = F.when(number >= 0, tested).otherwise(F.lit(1.0))
     length_class = F.floor(F.log2(F.greatest(F.length(bare), F.lit(1)))).cast("int")
     weight = F.least(F.lit(BINS - 1), F.floor(-F.log10(F.greatest(p, F.lit(1e-30))) / WIDTH).cast("int"))
     return F.struct(
