@@ -62,7 +62,7 @@ def source_rates(
     if weights is None:
         weighed = sizes.withColumn("w", F.pow(F.col("n").cast("double"), F.lit(power)))
     else:
-        pairs = docs.sparkSession.createDataFrame(list(weights.items()), "_s string, w double")
+        pairs = docs.sparkSession.createDataFrame([(s, float(w)) for s, w in weights.items()], "_s string, w double")
         weighed = sizes.join(pairs, F.col("source").cast("string").eqNullSafe(F.col("_s")), "left")
         weighed = weighed.select("source", "n", F.coalesce("w", F.lit(0.0)).alias("w"))
     sums = weighed.agg(F.sum("w").alias("all_w"), F.sum("n").alias("all_n"))
