@@ -34,7 +34,9 @@ from pyspark.sql import functions as F
 from wardflow.llm.common import WordHashes, int_list, mix, rows_of, text_of
 from wardflow.sources.shared import materialised
 
-TILE = 64
+TILE = 256
+#: Shingles of a tile pair that are held against each other at once.
+COLUMNS = 8192
 #: Streams over which the comparisons with one pivot are spread.
 SALTS = 16
 
@@ -223,11 +225,18 @@ def _tiles(open_members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     def compare(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         sets_ = [np.frombuffer(x, np.uint64) for x in group["items"]]
         n = np.array([len(x) for x in sets_], np.float64)
-        _, column = np.unique(np.concatenate(sets_), return_inverse=True)
-        grid = np.zeros((len(sets_), int(column.max()) + 1), np.float32)
-        grid[np.repeat(np.arange(len(sets_)), n.astype(np.int64)), column] = 1
-        label, tile_of, rep = (group[c].to_numpy() for c in ("label", "tile", "rep"))
-        both = (grid @ grid.T).astype(np.float64)
+        _, column, times = np.unique(np.concatenate(sets_), return_inverse=True, return_counts=True)
+        shared = times > 1  # a shingle of one set is in no intersection
+        row, column = np.repeat(np.arange(len(n)), n.astype(np.int64))[shared[column]], (np.cumsum(shared) - 1)[column[shared[column]]]
+        order = np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
+        both = np.zeros((len(n), len(n)), np.float64)
+        for at in range(0, int(shared.sum()), COLUMNS):
+            lo, hi = np.searchsorted(column, [at, at + COLUMNS])
+            grid = np.zeros((len(n), COLUMNS), np.float32)
+            grid[row[lo:hi], column[lo:hi] - at] = 1
+            both += grid @ grid.T
+        label, tile_of = (group[c].to_numpy() for c in ("label", "tile"))
         near = 100 * both >= percent * (n[:, None] + n[None, :] - both)
         near &= label[:, None] < label[None, :]
         if key[1] != key[2]:
@@ -280,8 +289,14 @@ def near_duplicates(
 
     # what is left: members that are not their bucket's pivot, with several labels
     rest = cells.where("rep <> pivot").select("key", "rep").join(members, "rep")
-    still = rest.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    still = still.select("key")
+    still = rest.groupBy("key").agg(
+        F.min("label").alias("low"),
+        F.max("label").alias("high"),
+        F.struct(
+            F.count(F.lit(1)), F.bit_xor(F.xxhash64("rep")), F.bit_xor(F.xxhash64("rep", F.lit(1)))
+        ).alias("same"),
+    ).where("low < high")
+    still = still.groupBy("same").agg(F.min("key").alias("key")).select("key")  # equal members once
     opened = materialised(rest.join(still, "key"))
     members = _relabel(members, _tiles(opened, sets, percent))
 
