@@ -65,15 +65,10 @@ def source_rates(
         pairs = docs.sparkSession.createDataFrame([(s, float(w)) for s, w in weights.items()], "_s string, w double")
         weighed = sizes.join(pairs, F.col("source").cast("string").eqNullSafe(F.col("_s")), "left")
         weighed = weighed.select("source", "n", F.coalesce("w", F.lit(0.0)).alias("w"))
-    sums = weighed.agg(F.sum("w").alias("all_w"), F.sum("n").alias("all_n"))
-    rows = F.lit(total) if total is not None else F.col("all_n").cast("double")
-    rate = F.when(F.col("all_w") > 0, F.col("w") / F.col("all_w") * rows / F.col("n")).otherwise(0.0)
-    one = F.lit(1).alias("_one")  # one row of sums meets one row per source
-    return (
-        weighed.withColumn("_one", F.lit(1))
-        .join(sums.select("*", one), "_one")
-        .select(F.col("source").alias("_source"), rate.alias("rate"))
-    )
+    all_w, all_n = weighed.agg(F.sum("w")).scalar(), weighed.agg(F.sum("n")).scalar()
+    rows = F.lit(total) if total is not None else all_n.cast("double")
+    rate = F.when(all_w > 0, F.col("w") / all_w * rows / F.col("n")).otherwise(0.0)
+    return weighed.select(F.col("source").alias("_source"), rate.alias("rate"))
 
 
 def mix(
