@@ -85,3 +85,10 @@ def test_vote(spark):
     got = {r.ID: (r.score, r.Label) for r in evaluate.vote_scores(rows).collect()}
     assert got[1] == (pytest.approx((0.8 + 0.5) / 2), 0)
     assert got[2] == (pytest.approx(0.75 / 1.5), 1)
+
+
+def test_chunks_without_score_or_label_do_not_count(spark):
+    rows = [(1, 1, None, None), (1, 1, 0.5, 1), (1, None, 0.9, 1)]
+    df = spark.createDataFrame(rows, "ID int, Label int, score double, prediction int")
+    got = evaluate.chunk_evaluation(df).first()
+    assert got.eval_loss == pytest.approx(0.6931472) and got.eval_accuracy == 1.0

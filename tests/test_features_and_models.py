@@ -90,9 +90,7 @@ def test_pair_lengths_against_the_loop(spark):
         assert (r.ka, r.kb) == (a, b), r
 
 
-@pytest.mark.parametrize("shared_rows", [encode.MAX_SHARED_ROWS, 1])
-def test_sequences(spark, monkeypatch, shared_rows):
-    monkeypatch.setattr(encode, "MAX_SHARED_ROWS", shared_rows)
+def test_sequences(spark):
     length = 6
     rows = [(0, []), (1, ["a"]), (2, list("abca")), (3, list("abcab")), (4, ["zz", "a"]), (5, None)]
     df = spark.createDataFrame(rows, "id int, tokens array<string>")
@@ -108,9 +106,7 @@ def test_sequences(spark, monkeypatch, shared_rows):
     assert all(r.segment_ids == [0] * length for r in out)
 
 
-@pytest.mark.parametrize("shared_rows", [encode.MAX_SHARED_ROWS, 1])
-def test_sub_words(spark, monkeypatch, shared_rows):
-    monkeypatch.setattr(encode, "MAX_SHARED_ROWS", shared_rows)
+def test_sub_words(spark):
     pieces = ["un", "##aff", "##able", "un##", "aff", "é"]
     table = spark.createDataFrame([(p,) for p in pieces], "piece string")
     rows = [("unaffable",), ("affx",), ("u" * 101,), ("",), ("é",), ("affaff",), ("é",)]
@@ -126,18 +122,39 @@ def test_sub_words(spark, monkeypatch, shared_rows):
     }
 
 
-@pytest.mark.parametrize("shared_bytes", [encode.MAX_SHARED_BYTES, 1])
-def test_mean_pool(spark, monkeypatch, shared_bytes):
-    monkeypatch.setattr(encode, "MAX_SHARED_BYTES", shared_bytes)
+def test_sequences_with_repeated_keys_and_tokens(spark):
+    df = spark.createDataFrame([(1, ["a"]), (1, ["b", "a"]), (1, ["a"])], "id int, tokens array<string>")
+    vocabulary = spark.createDataFrame([("a", 4), ("a", 9), ("b", 5)], "token string, token_id int")
+    out = encode.encode_sequences(df, ["id"], F.col("tokens"), vocabulary, 4).collect()
+    assert sorted(r.input_ids for r in out) == [[2, 4, 3, 0], [2, 4, 3, 0], [2, 5, 4, 3]]
+
+
+def test_sub_words_of_any_length(spark):
+    table = spark.createDataFrame([("u",), ("##u",)], "piece string")
+    words = spark.createDataFrame([("u" * 3000,)], "token string")
+    assert encode.sub_words(words, table).first().pieces == ["u"] + ["##u"] * 2999
+    assert encode.sub_words(words, table, max_word_chars=100).first().pieces == ["[UNK]"]
+    none = spark.createDataFrame([], "piece string")
+    assert encode.sub_words(words, none).first().pieces == ["[UNK]"]
+
+
+def test_mean_pool(spark):
     rows = [(1, ["a", "?", "a", "b", "a"]), (2, ["b", "b"]), (3, ["?"]), (4, []), (5, None)]
+    rows += [(6, ["c"]), (7, ["d"]), (8, ["null"]), (9, ["null", "d"])]
     docs = spark.createDataFrame(rows, "doc int, tokens array<string>")
     vectors = spark.createDataFrame(
-        [("a", [1.0, 0.0]), ("b", [0.0, 2.0])], "token string, vector array<float>"
+        [("a", [1.0, 0.0]), ("b", [0.0, 2.0]), ("null", None), ("c", [1.0, 1.0]), ("c", [3.0, 5.0]), ("d", [5.0, 5.0])],
+        "token string, vector array<float>",
     )
     out = encode.mean_pool(docs, ["doc"], F.col("tokens"), vectors).collect()
-    got = {r.doc: r.pooled.toArray() for r in out}
-    assert set(got) == {1, 2}
-    assert np.allclose(got[1], [0.75, 0.5]) and np.allclose(got[2], [0.0, 2.0])
+    got = {r.doc: list(r.pooled.toArray()) for r in out}
+    assert got == {1: [0.75, 0.5], 2: [0.0, 2.0], 6: [2.0, 3.0], 7: [5.0, 5.0], 9: [5.0, 5.0]}
+
+
+def test_rows_without_a_label_keep_a_place(spark):
+    df = spark.createDataFrame([(1,), (1,), (0,), (None,)], "Label int")
+    got = [tuple(r) for r in features.frequency_index(df).select("Label", "label_index").collect()]
+    assert sorted(got, key=str) == [(0, 1.0), (1, 0.0), (1, 0.0), (None, None)]
 
 
 def test_label_names_and_scores(spark):

@@ -52,6 +52,36 @@ def test_null_handling(spark):
     df = spark.createDataFrame(rows, "a string, b string")
     assert profile.key_counts(df, "b").count() == 2
     assert profile.key_counts(df, "b", drop_null=True).count() == 1
-    assert [tuple(r) for r in profile.cross_table(df, "a", "b", ["B", "C"]).collect()] == [("A", 2, 0)]
+    assert [tuple(r) for r in profile.cross_table(df, "a", "b", ["B", "C"]).collect()] == [("A", 2, 0, 0)]
+    unlisted = [tuple(r) for r in profile.cross_table(df, "a", "b", ["C"]).collect()]
+    assert unlisted == [("A", 0, 2)]
     shares = {r.b: r.share for r in profile.key_shares(df, "b").collect()}
     assert shares == {"B": 1.0}
+
+
+def test_deviation_of_large_values(spark):
+    df = spark.createDataFrame([(1e9 + i,) for i in range(3)], "x double")
+    assert profile.describe(df, "x").first()["std"] == 1.0
+    assert profile.describe(df.limit(1), "x").first()["std"] is None
+
+
+def test_quartiles_by_group(values, monkeypatch):
+    df, data = values
+    for groups in (2, 0):  # broadcast, and the join beyond the bound
+        monkeypatch.setattr(profile, "MAX_GROUPS", groups)
+        got = {r.g: (r.q25, r.q50, r.q75) for r in profile.describe(df, "x", ["g"]).collect()}
+        for g, part in data.groupby("g"):
+            assert got[g] == pytest.approx(tuple(part["x"].quantile([0.25, 0.5, 0.75])))
+
+
+def test_admissions_without_a_key(spark):
+    df = spark.createDataFrame([(1, 1), (1, 1), (None, 1), (None, 1), (2, None)], "SUBJECT_ID int, HADM_ID int")
+    assert [tuple(r) for r in profile.notes_per_admission(df).collect()] == [(1, 1, 2)]
+    assert profile.multi_note_ratio(df).first().ratio == 0.2
+
+
+def test_estimated_distinct_counts(spark):
+    df = spark.range(20_000).withColumnRenamed("id", "k")
+    exact = profile.distinct_counts(df, [], {"n": df["k"]}).first().n
+    near = profile.distinct_counts(df, [], {"n": df["k"]}, error=0.02).first().n
+    assert exact == 20_000 and abs(near - exact) < 0.1 * exact

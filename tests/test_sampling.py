@@ -88,3 +88,28 @@ def test_hash_split_and_shuffle_repeat(spark):
     order = [r.ID for r in sampling.shuffled(rows, F.col("ID"), 3).collect()]
     assert order == [r.ID for r in sampling.shuffled(rows.repartition(3), F.col("ID"), 3).collect()]
     assert order != sorted(order) and sorted(order) == list(range(2000))
+
+
+def test_splits_by_subject(spark):
+    rows = spark.range(400).select(
+        F.col("id").alias("ID"),
+        (F.col("id") % 40).alias("SUBJECT_ID"),
+        (F.col("id") % 2).cast("int").alias("Label"),
+    )
+    by_id = sampling.class_balance(rows, extra=0)
+    assert by_id.groupBy("ID").agg(F.countDistinct("split").alias("n")).where("n > 1").isEmpty()
+    by_subject = sampling.class_balance(rows, extra=0, by="SUBJECT_ID").select("ID", "split")
+    subjects = by_subject.join(rows, "ID").groupBy("SUBJECT_ID").agg(F.countDistinct("split").alias("n"))
+    assert by_subject.count() == 400 and subjects.where("n > 1").isEmpty()
+
+
+def test_extra_negatives_are_an_argument(spark):
+    got = counts(sampling.assign_splits(frame(spark, 10, 500), 30, extra=7))
+    assert got[("extra", 0)] == 7
+
+
+def test_audit_sees_ids_in_two_splits(spark):
+    rows = [(1, 0, "train"), (1, 0, "test"), (2, 0, "train"), (2, 0, "train"), (3, 1, "val")]
+    df = spark.createDataFrame(rows, "ID int, Label int, split string")
+    got = {(r["split"], r["Label"]): (r["rows"], r["ids"], r["overlapping_ids"]) for r in sampling.split_audit(df).collect()}
+    assert got == {("train", 0): (3, 2, 1), ("test", 0): (1, 1, 1), ("val", 1): (1, 1, 0)}

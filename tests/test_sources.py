@@ -68,3 +68,17 @@ def test_frame_helpers(spark):
     assert shape == {"k": ("int", 2, 2), "v": ("string", 2, 2)}
     cut = shared.materialised(df)
     assert cut.count() == 2
+
+
+def test_written_tables_can_be_dropped(spark, tmp_path):
+    df = spark.createDataFrame([(2, "b"), (1, "a")], "k int, v string")
+    table = shared.materialised(df, str(tmp_path))
+    assert table.count() == 2 and len(list(tmp_path.iterdir())) == 1
+    shared.drop_table(table)
+    assert not list(tmp_path.iterdir())
+    key = sinks.write_chunk_scores(
+        spark.createDataFrame([(7, 0, 0.4, 0, 1)], "ID int, chunk_no int, score double, prediction int, Label int"),
+        str(tmp_path / "scores"),
+        ["ID", "chunk_no"],
+    )
+    assert spark.read.parquet(key).columns == ["ID", "chunk_no", "logits", "pred_label", "label"]

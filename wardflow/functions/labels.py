@@ -52,9 +52,12 @@ def argmax(scores: Column) -> Column:
 
 
 def log_loss(label: Column, probability: Column, floor: float = 1e-12) -> Column:
-    """Binary cross-entropy of one row; probabilities are kept off 0 and 1 by ``floor``."""
-    p = F.greatest(F.least(probability, F.lit(1 - floor)), F.lit(floor))
-    return -F.when(label == 1, F.log(p)).otherwise(F.log(1 - p))
+    """Binary cross-entropy of one row; probabilities are kept off 0 and 1 by ``floor``.
+
+    NULL when the label or the probability is unknown.
+    """
+    p = F.when(probability.isNotNull(), F.greatest(F.least(probability, F.lit(1 - floor)), F.lit(floor)))
+    return -F.when(label == 1, F.log(p)).when(label == 0, F.log(1 - p))
 
 
 def first_as_int(values: Column) -> Column:

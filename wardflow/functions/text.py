@@ -31,7 +31,8 @@ def clean_note(text: Column) -> Column:
     low = F.replace(low, F.lit("m.d."), F.lit("md"))
     low = F.replace(low, F.lit("admission date:"), F.lit(""))
     low = F.replace(low, F.lit("discharge date:"), F.lit(""))
-    low = F.regexp_replace(low, r"([-_=])\1", "")
+    # fixed value: the double marks
+    low = F.regexp_replace(low, r"--|__|==", "")
     return F.regexp_replace(F.trim(low), r"\s+", " ")
 
 

@@ -1,10 +1,9 @@
 """Vocabularies, token ids, fixed-length sequences and pooled token vectors.
 
 Frequencies are counted straight from the token arrays and combined before the shuffle.
-Sequences and pooled vectors need every token of a row: with a vocabulary below the size
-bounds here the look-up goes to the rows, in Arrow batches and without a shuffle; with a
-larger one the tokens are joined. Joins on the token carry no broadcast hint: adaptive
-execution broadcasts a table that is small at run time and splits hot tokens otherwise.
+Tokens meet their ids and vectors in a join, at any size of the tables. The joins carry no
+broadcast hint: adaptive execution broadcasts a table that is small at run time and splits
+hot tokens otherwise.
 """
 
 from __future__ import annotations
@@ -24,10 +23,6 @@ from wardflow.operators.notes import explode_tokens
 PAD_ID, UNK_ID, CLS_ID, SEP_ID = 0, 1, 2, 3
 FIRST_TOKEN_ID = 4
 UNKNOWN = "[UNK]"
-# a table is sent to all executors only below these bounds
-MAX_SHARED_ROWS = 2**17
-MAX_SHARED_BYTES = 2**26
-MAX_WORD_CHARS = 100
 
 
 def document_tokens(docs: DataFrame, keys: list[str], tokens: Column) -> DataFrame:
@@ -71,45 +66,15 @@ def token_vectors(tokens: DataFrame, vectors: DataFrame) -> DataFrame:
 def mean_pool(docs: DataFrame, keys: list[str], tokens: Column, vectors: DataFrame) -> DataFrame:
     """keys and ``pooled``, the mean vector of the known tokens of each row.
 
-    ``keys`` identify a row. Rows without a known token are dropped.
+    ``keys`` identify a row. Tokens with a NULL vector count as unknown; a token on several
+    rows of ``vectors`` counts with each of them. Rows without a known token are dropped.
     """
-    dim = F.size("vector")
-    shape = vectors.agg(
-        F.count("*").alias("n"), F.min(dim).alias("least"), F.max(dim).alias("most")
-    ).first()
-    if shape.n and shape.least == shape.most and shape.n * shape.most * 8 <= MAX_SHARED_BYTES:
-        return _mean_pool_in_rows(docs, keys, tokens, vectors, shape.most)
-    return mean_pool_by_join(document_tokens(docs, keys, tokens), vectors, keys)
+    return pool_counts(document_tokens(docs, keys, tokens), vectors, keys)
 
 
-def _mean_pool_in_rows(
-    docs: DataFrame, keys: list[str], tokens: Column, vectors: DataFrame, dim: int
-) -> DataFrame:
-    table = vectors.select("token", F.col("vector").cast("array<double>")).toArrow()
-    place = {token: i for i, token in enumerate(table["token"].to_pylist())}
-    matrix = table["vector"].combine_chunks().flatten().to_numpy().reshape(-1, dim)
-    shared = vectors.sparkSession.sparkContext.broadcast((place, matrix))
-
-    @F.pandas_udf("array<double>")
-    def pool(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        place, matrix = shared.value
-
-        def mean(words):
-            known = [place[w] for w in words if w in place] if words is not None else []
-            return matrix[known].mean(axis=0) if known else None
-
-        for rows in batches:
-            yield rows.map(mean, na_action=None)
-
-    # kept out of the filter below, where Catalyst would run it a second time
-    once = pool.asNondeterministic()
-    pooled = docs.select(*keys, once(tokens).alias("_mean")).where(F.col("_mean").isNotNull())
-    return pooled.select(*keys, array_to_vector("_mean").alias("pooled"))
-
-
-def mean_pool_by_join(tokens: DataFrame, vectors: DataFrame, keys: list[str]) -> DataFrame:
-    """The same from (document, token, tf) rows, for a vector table of any size."""
-    known = tokens.join(vectors, "token")
+def pool_counts(tokens: DataFrame, vectors: DataFrame, keys: list[str]) -> DataFrame:
+    """The same from (document, token, tf) rows."""
+    known = tokens.join(vectors.where(F.col("vector").isNotNull()), "token")
     mean = Summarizer.mean(
         array_to_vector(F.col("vector").cast("array<double>")), F.col("tf").cast("double")
     )
@@ -144,17 +109,21 @@ def padded(values: Column, length: int) -> Column:
 def encode_sequences(
     docs: DataFrame, keys: list[str], tokens: Column, vocabulary: DataFrame, length: int = 512
 ) -> DataFrame:
-    """input_ids, input_mask and segment_ids of exactly ``length`` integers.
+    """keys, input_ids, input_mask and segment_ids of exactly ``length`` integers.
 
-    ``keys`` identify a row. The tokens of a row are cut to ``length - 2`` before they are
-    looked up. Rows without tokens stay.
+    The tokens of a row are cut to ``length - 2`` before they are looked up, so what is
+    gathered per row is that long at most. Rows without tokens and rows with equal keys
+    stay. A token on several rows of ``vocabulary`` has the smallest of its ids.
     """
     cut = docs.select(*keys, F.slice(tokens, 1, length - 2).alias("_tokens"))
-    table = vocabulary.select("token", "token_id")
-    known = table.limit(MAX_SHARED_ROWS + 1).collect()
-    small = len(known) <= MAX_SHARED_ROWS
-    bodies = _ids_in_rows(cut, known) if small else ids_by_join(cut, keys, table)
-    framed = bodies.select(
+    placed = cut.withColumn("_row", F.monotonically_increasing_id()).select(
+        *keys, "_row", F.posexplode_outer("_tokens").alias("_pos", "token")
+    )
+    known = vocabulary.groupBy("token").agg(F.min("token_id").alias("token_id"))
+    entry = F.when(F.col("_pos").isNotNull(), F.struct("_pos", "token_id"))
+    body = F.transform(F.sort_array(F.collect_list(entry)), lambda e: e["token_id"])
+    gathered = token_ids(placed, known).groupBy(*keys, "_row").agg(body.alias("_ids"))
+    framed = gathered.select(
         *keys, F.concat(F.array(F.lit(CLS_ID)), "_ids", F.array(F.lit(SEP_ID))).alias("_seq")
     )
     used = F.size("_seq")
@@ -166,32 +135,6 @@ def encode_sequences(
     )
 
 
-def _ids_in_rows(cut: DataFrame, known: list) -> DataFrame:
-    shared = cut.sparkSession.sparkContext.broadcast({r.token: r.token_id for r in known})
-
-    @F.pandas_udf("array<int>")
-    def look_up(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        ids = shared.value
-        for rows in batches:
-            yield rows.map(lambda words: [ids.get(w, UNK_ID) for w in words])
-
-    filled = F.coalesce("_tokens", F.array().cast("array<string>"))
-    return cut.withColumn("_ids", look_up(filled))
-
-
-def ids_by_join(cut: DataFrame, keys: list[str], table: DataFrame) -> DataFrame:
-    """keys and ``_ids`` through a join, for a vocabulary of any size.
-
-    The array gathered per row is as long as its cut tokens.
-    """
-    placed = cut.select(*keys, F.posexplode_outer("_tokens").alias("_pos", "token"))
-    entry = F.when(F.col("_pos").isNotNull(), F.struct("_pos", "token_id"))
-    gathered = token_ids(placed, table).groupBy(*keys)
-    return gathered.agg(
-        F.transform(F.sort_array(F.collect_list(entry)), lambda e: e["token_id"]).alias("_ids")
-    )
-
-
 def example_ids(rows: DataFrame, set_name: str) -> DataFrame:
     """``guid`` = "{set}-{index}" from an ``index`` column."""
     return rows.withColumn("guid", F.concat_ws("-", F.lit(set_name), F.col("index").cast("string")))
@@ -205,12 +148,11 @@ def label_ids(label: Column, names: tuple[str, ...] = ("0", "1")) -> Column:
 
 def longest_match(word: str, pieces: set[str]) -> list[str]:
     """Greedy sub-words of one word; continuations start with "##"."""
-    if len(word) > MAX_WORD_CHARS:
-        return [UNKNOWN]
+    longest = max(map(len, pieces), default=0)
     found, start = [], 0
     while start < len(word):
         prefix = "##" if start else ""
-        ends = range(len(word), start, -1)
+        ends = range(min(len(word), start + longest), start, -1)
         end = next((e for e in ends if prefix + word[start:e] in pieces), None)
         if end is None:
             return [UNKNOWN]
@@ -219,49 +161,42 @@ def longest_match(word: str, pieces: set[str]) -> list[str]:
     return found
 
 
-def sub_words(tokens: DataFrame, pieces: DataFrame) -> DataFrame:
+def sub_words(
+    tokens: DataFrame, pieces: DataFrame, max_word_chars: int | None = None
+) -> DataFrame:
     """``pieces`` (array) per distinct token of ``tokens``; each is cut once.
 
-    A piece table below the row bound goes to the executors as one set. With a larger one
-    each token first finds the pieces that occur in it by a join.
+    Every span of a token that is no longer than the longest piece looks itself up by a
+    join. With ``max_word_chars`` longer tokens become one unknown piece; by default all
+    are cut.
     """
     words = tokens.select("token").distinct()
-    rows = pieces.select("piece").limit(MAX_SHARED_ROWS + 1).collect()
-    if len(rows) > MAX_SHARED_ROWS:
-        return _sub_words_by_join(words, pieces)
-    shared = pieces.sparkSession.sparkContext.broadcast({r.piece for r in rows})
-
-    @F.pandas_udf("array<string>")
-    def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known = shared.value
-        for batch in batches:
-            yield batch.map(lambda word: longest_match(word, known))
-
-    return words.withColumn("pieces", cut("token"))
-
-
-def _sub_words_by_join(words: DataFrame, pieces: DataFrame) -> DataFrame:
+    known = pieces.select("piece").where(F.length("piece") > 0).distinct()
+    longest = known.agg(F.coalesce(F.max(F.length("piece")), F.lit(0))).scalar()
     size = F.length("token")
+    wanted = words.where(size <= max_word_chars) if max_word_chars else words
+    last = F.least(size, F.col("_from") + longest - 1)
     spans = (
-        words.where(size.between(1, MAX_WORD_CHARS))
+        wanted.where(size >= 1)
         .select("token", F.explode(F.sequence(F.lit(1), size)).alias("_from"))
-        .select("*", F.explode(F.sequence(F.col("_from"), size)).alias("_to"))
+        .where(last >= F.col("_from"))
+        .select("*", F.explode(F.sequence(F.col("_from"), last)).alias("_to"))
     )
     span = F.substring("token", F.col("_from"), F.col("_to") - F.col("_from") + 1)
     prefix = F.when(F.col("_from") > 1, "##").otherwise("")
-    # at most one row per pair of places in a word of bounded length
     found = (
         spans.select("token", F.concat(prefix, span).alias("piece"))
-        .join(pieces.select("piece"), "piece", "left_semi")
+        .join(known, "piece", "left_semi")
         .groupBy("token")
         .agg(F.collect_set("piece").alias("_known"))
     )
 
     @F.pandas_udf("array<string>")
-    def cut(tokens: pd.Series, known: pd.Series) -> pd.Series:
-        return pd.Series(
-            [longest_match(w, set() if k is None else set(k)) for w, k in zip(tokens, known)]
-        )
+    def cut(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for batch, known in batches:
+            yield pd.Series(
+                [longest_match(w, set() if k is None else set(k)) for w, k in zip(batch, known)]
+            )
 
     return words.join(found, "token", "left").select(
         "token", cut("token", "_known").alias("pieces")

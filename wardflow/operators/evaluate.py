@@ -204,9 +204,10 @@ def classification_report(scored: DataFrame) -> DataFrame:
 
 
 def chunk_evaluation(scored: DataFrame) -> DataFrame:
-    """Mean log loss and accuracy over chunks."""
+    """Mean log loss and accuracy over the chunks that have a score and a label."""
     right = F.col("prediction") == F.col("Label")
-    return scored.agg(
+    known = scored.where(F.col("score").isNotNull() & F.col("Label").isNotNull())
+    return known.agg(
         F.avg(log_loss(F.col("Label"), F.col("score"))).alias("eval_loss"),
         F.avg(F.when(right, 1.0).otherwise(0.0)).alias("eval_accuracy"),
     )

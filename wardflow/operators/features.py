@@ -46,11 +46,16 @@ def word2vec_stages(
     vector_size: int = 1000,
     min_count: int = 10,
     max_sentence_length: int = 1000,
-    partitions: int = 8,
+    partitions: int = 1,
     seed: int = 1,
     text: str = "TEXT",
 ) -> Pipeline:
-    """Regex tokens without clinical stop words; a document is its mean word vector."""
+    """Regex tokens without clinical stop words; a document is its mean word vector.
+
+    ``partitions`` should follow the input, one per few hundred megabytes of text: each is
+    trained by one task. The library gathers the vocabulary on the driver, so ``min_count``
+    has to bound it.
+    """
     return Pipeline(
         stages=[
             RegexTokenizer(inputCol=text, outputCol="tokens", pattern=r"\W"),
@@ -92,9 +97,12 @@ def label_as_double(df: DataFrame, label: str = "Label") -> DataFrame:
 
 
 def frequency_index(df: DataFrame, label: str = "Label") -> DataFrame:
-    """``label_index``: 0.0 for the most frequent value, 1.0 for the next; ties by value."""
-    values = df.groupBy(F.col(label).cast("string").alias("_value")).agg(F.count("*").alias("_n"))
+    """``label_index``: 0.0 for the most frequent value, 1.0 for the next; ties by value.
+
+    Rows without a label stay, with a NULL index.
+    """
+    values = df.where(F.col(label).isNotNull()).groupBy(F.col(label).cast("string").alias("_value")).agg(F.count("*").alias("_n"))
     order = [F.desc("_n"), F.asc("_value")]
     placed = running_sums(values, order, {"label_index": F.lit(1.0)})
     index = placed.select("_value", (F.col("label_index") - 1).alias("label_index"))
-    return df.join(index, F.col(label).cast("string") == F.col("_value")).drop("_value")
+    return df.join(index, F.col(label).cast("string") == F.col("_value"), "left").drop("_value")

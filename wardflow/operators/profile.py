@@ -1,7 +1,9 @@
 """Cohort profile: counts, shares, distributions and the data behind the plots.
 
 Distributions start from value counts (one row per distinct value, combined before the
-shuffle), so percentiles and densities see distinct values and not raw rows.
+shuffle). Quartiles are read off the running sums of the counts at their ranks, so no task
+holds all values of a group. Figures of a group reach its rows by a join with one row per
+group, which is broadcast while there are at most MAX_GROUPS groups.
 """
 
 from __future__ import annotations
@@ -11,7 +13,10 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wardflow.operators.ordering import running_sums
+
 QUARTILES = [0.25, 0.5, 0.75]
+MAX_GROUPS = 10_000
 MAX_AGE = 200
 
 
@@ -46,9 +51,19 @@ def key_shares(df: DataFrame, key: str) -> DataFrame:
     return counts.withColumn("share", F.col("n") / counts.agg(F.sum("n")).scalar())
 
 
-def distinct_counts(df: DataFrame, keys: list[str], columns: dict[str, Column]) -> DataFrame:
-    """Exact distinct counts; give long texts as their hash to keep the shuffle narrow."""
-    return df.groupBy(*keys).agg(*[F.count_distinct(e).alias(n) for n, e in columns.items()])
+def distinct_counts(
+    df: DataFrame, keys: list[str], columns: dict[str, Column], error: float | None = None
+) -> DataFrame:
+    """Distinct counts; give long texts as their hash to keep the shuffle narrow.
+
+    Exact by default; with ``error`` they are estimated to that relative deviation from
+    sketches of fixed size.
+    """
+
+    def count(column: Column) -> Column:
+        return F.count_distinct(column) if error is None else F.approx_count_distinct(column, error)
+
+    return df.groupBy(*keys).agg(*[count(e).alias(n) for n, e in columns.items()])
 
 
 def length_by_label(
@@ -61,17 +76,15 @@ def length_by_label(
 
 
 def notes_per_admission(source: DataFrame) -> DataFrame:
-    """Rows per admission, rows without text included."""
-    return source.groupBy("SUBJECT_ID", "HADM_ID").agg(F.count("*").alias("notecnt"))
+    """Rows per admission, rows without text included; rows without a key are left out."""
+    known = source.dropna(subset=["SUBJECT_ID", "HADM_ID"])
+    return known.groupBy("SUBJECT_ID", "HADM_ID").agg(F.count("*").alias("notecnt"))
 
 
 def multi_note_ratio(source: DataFrame) -> DataFrame:
     """Admissions with more than one row, divided by all raw rows."""
-    per_admission = notes_per_admission(source)
-    known = F.col("SUBJECT_ID").isNotNull() & F.col("HADM_ID").isNotNull()
-    return per_admission.agg(
-        (F.count_if(known & (F.col("notecnt") > 1)) / F.sum("notecnt")).alias("ratio")
-    )
+    several = notes_per_admission(source).agg(F.count_if(F.col("notecnt") > 1).alias("several"))
+    return several.select((F.col("several") / source.agg(F.count("*")).scalar()).alias("ratio"))
 
 
 def value_counts(df: DataFrame, value: str, groups: list[str] | None = None) -> DataFrame:
@@ -81,47 +94,74 @@ def value_counts(df: DataFrame, value: str, groups: list[str] | None = None) ->
     return kept.groupBy(*(groups or []), as_double).agg(F.count("*").alias("n"))
 
 
-def _moments() -> tuple[Column, Column, Column]:
-    n = F.sum("n")
-    total = F.sum(F.col("value") * F.col("n"))
-    squares = F.sum(F.col("value") * F.col("value") * F.col("n"))
-    variance = F.try_divide(squares - total * total / n, n - 1)
-    return n, total / n, F.sqrt(F.greatest(variance, F.lit(0.0)))
+def moments(df: DataFrame, value: str, groups: list[str] | None = None) -> DataFrame:
+    """Groups, count, mean, std (of a sample), min and max of the values that are not NULL."""
+    x = F.col(value).cast("double")
+    kept = df.where(F.col(value).isNotNull()) if groups else df
+    return kept.groupBy(*(groups or [])).agg(
+        F.count(value).alias("count"),
+        F.avg(x).alias("mean"),
+        F.when(F.count(value) > 1, F.stddev_samp(x)).alias("std"),
+        F.min(x).alias("min"),
+        F.max(x).alias("max"),
+    )
+
+
+def _of_group(rows: DataFrame, figures: DataFrame, groups: list[str]) -> DataFrame:
+    """``rows`` with the figures of their group; the groups may be two, with half the rows each."""
+    if figures.limit(MAX_GROUPS + 1).count() <= MAX_GROUPS:
+        figures = F.broadcast(figures)
+    return rows.join(figures, groups)
+
+
+def quartiles(counts: DataFrame, groups: list[str] | None = None) -> DataFrame:
+    """Groups and q25, q50, q75 with linear interpolation, from (groups, value, n) rows."""
+    groups = groups or []
+    order = [*map(F.col, groups), F.col("value")]
+    placed = running_sums(counts, order, {"_upto": F.col("n")}, totals=not groups)
+    if groups:
+        sizes = placed.groupBy(*groups).agg(
+            F.sum("n").alias("_total"), F.min(F.col("_upto") - F.col("n")).alias("_base")
+        )
+        placed = _of_group(placed, sizes, groups)
+    else:
+        placed = placed.withColumnRenamed("total__upto", "_total").withColumn("_base", F.lit(0))
+    end = F.col("_upto") - F.col("_base")  # ranks of a value: end - n to end - 1
+    found = []
+    for i, q in enumerate(QUARTILES):
+        rank = (F.col("_total") - 1) * F.lit(q)
+        for side, at in (("low", F.floor(rank)), ("high", F.ceil(rank))):
+            holds = (at >= end - F.col("n")) & (at < end)
+            found.append(F.max(F.when(holds, F.col("value"))).alias(f"_{side}{i}"))
+    picked = placed.groupBy(*groups).agg(F.max("_total").alias("_total"), *found)
+
+    def between(i: int) -> Column:
+        rank = (F.col("_total") - 1) * F.lit(QUARTILES[i])
+        low, high = F.col(f"_low{i}"), F.col(f"_high{i}")
+        return low + (high - low) * (rank - F.floor(rank))
+
+    return picked.select(*groups, *[between(i).alias(f"q{int(100 * q)}") for i, q in enumerate(QUARTILES)])
 
 
 def describe(df: DataFrame, value: str, groups: list[str] | None = None) -> DataFrame:
     """count, mean, sample deviation, min, quartiles with linear interpolation, max."""
-    n, mean, deviation = _moments()
-    quartiles = F.percentile("value", QUARTILES, F.col("n"))
-    return (
-        value_counts(df, value, groups)
-        .groupBy(*(groups or []))
-        .agg(
-            n.alias("count"),
-            mean.alias("mean"),
-            deviation.alias("std"),
-            F.min("value").alias("min"),
-            quartiles.alias("_q"),
-            F.max("value").alias("max"),
-        )
-        .select(
-            *(groups or []),
-            F.coalesce("count", F.lit(0)).alias("count"),
-            "mean",
-            "std",
-            "min",
-            F.col("_q")[0].alias("q25"),
-            F.col("_q")[1].alias("q50"),
-            F.col("_q")[2].alias("q75"),
-            "max",
-        )
-    )
+    groups = groups or []
+    parts = quartiles(value_counts(df, value, groups), groups)
+    figures = moments(df, value, groups)
+    names = ["count", "mean", "std", "min", "q25", "q50", "q75", "max"]
+    both = figures.unionByName(parts, allowMissingColumns=True)
+    return both.groupBy(*groups).agg(*[F.max(n).alias(n) for n in names])
 
 
-def cross_table(df: DataFrame, rows: str, columns: str, values: list[str]) -> DataFrame:
-    """Counts of pairs without NULLs; absent pairs are 0."""
-    pairs = df.dropna(subset=[rows, columns])
-    return pairs.groupBy(rows).pivot(columns, values).count().fillna(0, subset=values)
+def cross_table(
+    df: DataFrame, rows: str, columns: str, values: list[str], other: str = "other"
+) -> DataFrame:
+    """Counts of pairs without NULLs; absent pairs are 0, unlisted values count as ``other``."""
+    listed = F.when(F.col(columns).isin(values), F.col(columns)).otherwise(other)
+    pairs = df.dropna(subset=[rows, columns]).withColumn(columns, listed).groupBy(rows, columns)
+    names = [*values, other]
+    table = pairs.agg(F.count("*").alias("_n")).groupBy(rows).pivot(columns, names).sum("_n")
+    return table.fillna(0, subset=names)
 
 
 def long_counts(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -135,27 +175,19 @@ def long_counts(df: DataFrame, columns: list[str]) -> DataFrame:
 def box_stats(df: DataFrame, group: str, value: str) -> DataFrame:
     """Quartiles, whiskers at 1.5 interquartile ranges and the number of outliers."""
     counts = value_counts(df, value, [group])
-    quartiles = counts.groupBy(group).agg(F.percentile("value", QUARTILES, F.col("n")).alias("_q"))
-    reach = 1.5 * (F.col("_q")[2] - F.col("_q")[0])
-    fenced = counts.join(quartiles, group).withColumn(
-        "_inside", F.col("value").between(F.col("_q")[0] - reach, F.col("_q")[2] + reach)
-    )
+    boxes = quartiles(counts, [group])
+    reach = 1.5 * (F.col("q75") - F.col("q25"))
+    inside = F.col("value").between(F.col("q25") - reach, F.col("q75") + reach)
     return (
-        fenced.groupBy(group)
+        _of_group(counts, boxes, [group])
+        .groupBy(group)
         .agg(
-            F.first("_q").alias("_q"),
-            F.min(F.when(F.col("_inside"), F.col("value"))).alias("whisker_low"),
-            F.max(F.when(F.col("_inside"), F.col("value"))).alias("whisker_high"),
-            F.sum(F.when(F.col("_inside"), 0).otherwise(F.col("n"))).alias("outliers"),
-        )
-        .select(
-            group,
-            F.col("_q")[0].alias("q1"),
-            F.col("_q")[1].alias("median"),
-            F.col("_q")[2].alias("q3"),
-            "whisker_low",
-            "whisker_high",
-            "outliers",
+            F.max("q25").alias("q1"),
+            F.max("q50").alias("median"),
+            F.max("q75").alias("q3"),
+            F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
+            F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
+            F.sum(F.when(inside, 0).otherwise(F.col("n"))).alias("outliers"),
         )
     )
 
@@ -168,31 +200,26 @@ def kernel_density(
     Each distinct value adds to the grid points of its own group only; the work is
     ``grid_size`` terms per distinct value, summed before the shuffle.
     """
-    counts = value_counts(df, value, [group])
-    n, _, deviation = _moments()
-    bandwidth = deviation * F.pow(n.cast("double"), F.lit(-0.2))
-    stats = (
-        counts.groupBy(group)
-        .agg(
-            n.alias("_total"),
-            bandwidth.alias("_h"),
-            F.min("value").alias("_low"),
-            F.max("value").alias("_high"),
-        )
-        .where(F.col("_h") > 0)
+    size = F.col("count").cast("double")
+    figures = moments(df, value, [group]).select(
+        group,
+        size.alias("_total"),
+        (F.col("std") * F.pow(size, F.lit(-0.2))).alias("_h"),
+        F.col("min").alias("_low"),
+        F.col("max").alias("_high"),
     )
     low = F.col("_low") - cut * F.col("_h")
     high = F.col("_high") + cut * F.col("_h")
     grid = low + (high - low) * F.col("point") / (grid_size - 1)
     offset = (F.col("x") - F.col("value")) / F.col("_h")
     term = F.col("n") * F.exp(-0.5 * offset * offset)
-    scale = F.first("_total") * F.first("_h") * math.sqrt(2 * math.pi)
+    scale = F.max("_total") * F.max("_h") * math.sqrt(2 * math.pi)
     return (
-        counts.join(stats, group)
+        _of_group(value_counts(df, value, [group]), figures.where(F.col("_h") > 0), [group])
         .withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(grid_size - 1))))
         .withColumn("x", grid)
         .groupBy(group, "point")
-        .agg(F.first("x").alias("x"), (F.sum(term) / scale).alias("density"))
+        .agg(F.max("x").alias("x"), (F.sum(term) / scale).alias("density"))
     )
 
 

@@ -66,13 +66,17 @@ def used_in_balance() -> Column:
     return F.when(F.col("Label") == 1, F.col("n_label")).otherwise(F.least("n_label", "n_pos"))
 
 
-def assign_splits(rows: DataFrame, n_days: int = 30, seed: int = 1) -> DataFrame:
+def assign_splits(
+    rows: DataFrame, n_days: int = 30, seed: int = 1, extra: int | None = None
+) -> DataFrame:
     """ID, Label and ``split``: val, test, train, extra (more negatives) or unused.
 
     A fifth of each class is held out, half of it for validation; halves round to even.
-    Extra negatives are clamped to those left.
+    ``extra`` more negatives join, by default EXTRA_NEGATIVES_30 at the 30-day horizon and
+    EXTRA_NEGATIVES_OTHER else, clamped to those left.
     """
-    extra = EXTRA_NEGATIVES_30 if n_days == 30 else EXTRA_NEGATIVES_OTHER
+    if extra is None:
+        extra = EXTRA_NEGATIVES_30 if n_days == 30 else EXTRA_NEGATIVES_OTHER
     sized = (
         ranked_ids(rows, seed)
         .withColumn("_used", used_in_balance())
@@ -120,18 +124,24 @@ def overlap(first: DataFrame, second: DataFrame) -> DataFrame:
     return first.intersect(second)
 
 
-def class_balance(chunks: DataFrame, n_days: int = 30, seed: int = 1) -> DataFrame:
+def class_balance(
+    chunks: DataFrame, n_days: int = 30, seed: int = 1, extra: int | None = None, by: str = "ID"
+) -> DataFrame:
     """Chunk rows of the used ids with ``split`` = train, val or test; no SUBJECT_ID.
 
-    Splits are disjoint by id, not by subject.
+    Splits are disjoint by id. With ``by="SUBJECT_ID"`` they are disjoint by subject: all
+    used rows of a subject follow the first split, val before test before train, that one
+    of its ids was given.
     """
-    parts = (
-        assign_splits(chunks, n_days, seed)
-        .where(F.col("split") != "unused")
-        .select("ID", F.when(F.col("split") == "extra", "train").otherwise(F.col("split")).alias("split"))
-        .distinct()
-    )
-    return chunks.join(parts, "ID").drop("SUBJECT_ID")
+    used = assign_splits(chunks, n_days, seed, extra).where(F.col("split") != "unused")
+    place = F.when(F.col("split") == "val", 0).when(F.col("split") == "test", 1).otherwise(2)
+    parts = used.select("ID", place.alias("_place")).distinct()
+    rows = chunks.join(parts, "ID")
+    if by != "ID":
+        least = rows.groupBy(by).agg(F.min("_place").alias("_least"))
+        rows = rows.join(least, by).withColumn("_place", F.col("_least")).drop("_least")
+    names = F.array(F.lit("val"), F.lit("test"), F.lit("train"))
+    return rows.withColumn("split", F.get(names, "_place")).drop("SUBJECT_ID", "_place")
 
 
 def shuffled(rows: DataFrame, key: Column, seed: int = 1) -> DataFrame:
@@ -155,15 +165,19 @@ def random_split(rows: DataFrame, train_share: float = 0.8, seed: int = 1234567)
 
 
 def split_audit(splits: DataFrame) -> DataFrame:
-    """Per split and Label: rows, ids, and ids that also occur in another split."""
+    """Per split and Label: rows, ids, and ids that also occur in another split.
+
+    One row per id, label and split is counted before the shuffle by id.
+    """
     per_id = splits.groupBy("ID", "Label", "split").agg(F.count("*").alias("n"))
-    spread = per_id.groupBy("ID").agg(F.countDistinct("split").alias("n_splits"))
+    same = W.partitionBy("ID")
+    several = F.min("split").over(same) != F.max("split").over(same)
     return (
-        per_id.join(spread, "ID")
+        per_id.withColumn("_several", several)
         .groupBy("split", "Label")
         .agg(
             F.sum("n").alias("rows"),
-            F.countDistinct("ID").alias("ids"),
-            F.count_if(F.col("n_splits") > 1).alias("overlapping_ids"),
+            F.count("ID").alias("ids"),
+            F.count_if("_several").alias("overlapping_ids"),
         )
     )

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import Estimator, Pipeline, PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wardflow.functions import text
 from wardflow.functions.labels import horizon_label
-from wardflow.operators import cohort, profile
+from wardflow.operators import classify, cohort, encode, profile, sampling
 from wardflow.operators.classify import train_and_report
 from wardflow.operators.evaluate import chunk_evaluation, curve_metrics, vote_scores
 from wardflow.operators.notes import clean_notes, segment_labelled_notes
@@ -36,14 +39,16 @@ def readmission_etl(source: DataFrame, n_days: int = 30) -> DataFrame:
     return clean_notes(labelled_notes(source, n_days))
 
 
-def training_data(source: DataFrame, n_days: int = 30, seed: int = 1) -> DataFrame:
-    """Chunks with ``split`` = train, val or test, balanced by class.
+def training_data(
+    source: DataFrame, n_days: int = 30, seed: int = 1, by: str = "ID", folder: str | None = None
+) -> DataFrame:
+    """Chunks with ``split`` = train, val or test, balanced by class, disjoint in ``by``.
 
-    The chunks are written once: ranking the ids then reads two columns of them, and the
-    text is cleaned only once.
+    The chunks are written once, to ``folder``: ranking the ids then reads two columns of
+    them, and the text is cleaned only once.
     """
-    chunks = materialised(segment_labelled_notes(readmission_etl(source, n_days)))
-    return class_balance(chunks, n_days, seed)
+    chunks = materialised(segment_labelled_notes(readmission_etl(source, n_days)), folder)
+    return class_balance(chunks, n_days, seed, by=by)
 
 
 def train_and_evaluate(
@@ -62,6 +67,39 @@ def month_labelled_set(source: DataFrame, months: int = 6) -> DataFrame:
     return rows.select(*cohort.ADMISSION_KEY, "CHARTDATE", "text_new", "readmitted")
 
 
+def clinical_tokens(note: Column) -> Column:
+    """Lower-cased words of letters without the default stop words."""
+    words = text.letters_only(text.space_tokens(text.shrink_spaces(note)))
+    return text.without_stop_words(words, text.default_stop_words())
+
+
+def embedding_classifier(
+    source: DataFrame, vectors: DataFrame, months: int = 6, epochs: int = 10, folder: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Scores of all month-labelled notes, and the report of each split.
+
+    Notes are pooled from the vectors of their words; four fifths of the admissions, by a
+    hash, train the perceptron. Notes without a known word have no score.
+    """
+    rows = month_labelled_set(source, months).select(
+        F.xxhash64("SUBJECT_ID", "HADM_ID", "CHARTDATE", "text_new").alias("note"),
+        "HADM_ID",
+        F.col("readmitted").alias("Label"),
+        clinical_tokens(F.col("text_new")).alias("_tokens"),
+    )
+    keys = ["note", "HADM_ID", "Label"]
+    pooled = encode.mean_pool(rows, keys, F.col("_tokens"), vectors)
+    split = sampling.hash_split(pooled, F.col("HADM_ID")).withColumnRenamed("pooled", "features")
+    noted = materialised(split, folder)
+    width = len(noted.first()["features"])
+    model = classify.fit_on_features(
+        classify.perceptron(inputs=width, epochs=epochs), noted.where("split = 'train'")
+    )
+    scored = classify.score(model, noted, ["note", "HADM_ID", "split"])
+    report = {n: scored.where(F.col("split") == n) for n in ("train", "test")}
+    return scored, classify.split_metrics(report)
+
+
 def vote_report(chunk_scores: DataFrame) -> DataFrame:
     """Chunk loss and accuracy with the curve metrics of the admission votes."""
     curves = curve_metrics(vote_scores(chunk_scores))
@@ -69,16 +107,19 @@ def vote_report(chunk_scores: DataFrame) -> DataFrame:
     return report_lines(chunk_evaluation(chunk_scores)).unionByName(report_lines(votes))
 
 
-def cohort_profile(source: DataFrame, demographics: DataFrame) -> dict[str, DataFrame]:
+def cohort_profile(
+    source: DataFrame, demographics: DataFrame, folder: str | None = None
+) -> dict[str, DataFrame]:
     """The frames of the exploratory report, by name.
 
-    The cohort is written once, with the length of each note in place of its text.
+    The cohort is written once, to ``folder``, with the length of each note in place of its
+    text.
     """
     half_year = horizon_label(F.col("DAYS_NEXT_ADMIT"), 180)
     noted = extract_readmission(source, 30).withColumns(
         {"note_len": F.length("TEXT"), "OUTPUT_LABEL_180": half_year}
     )
-    rows = materialised(noted.drop("TEXT"))
+    rows = materialised(noted.drop("TEXT"), folder)
     people = profile.with_demographics(rows, profile.demographic_columns(demographics))
     adults = profile.plausible_age(people)
     return {
@@ -101,3 +142,39 @@ def cohort_profile(source: DataFrame, demographics: DataFrame) -> dict[str, Data
         "age_density": profile.kernel_density(adults, "OUTPUT_LABEL", "AGE"),
         "gender_counts": profile.key_counts(adults, "OUTPUT_LABEL", "GENDER"),
     }
+
+
+# the columns that name a row of a frame; all others are measures
+PROFILE_KEYS = {
+    "type_shares": ["ADMISSION_TYPE"],
+    "gap_summary": [],
+    "label_counts": ["Target", "Readmission_label"],
+    "transitions": ["ADMISSION_TYPE"],
+    "note_length": [],
+    "note_length_by_label": ["OUTPUT_LABEL"],
+    "notes_per_admission": [],
+    "multi_note_ratio": [],
+    "note_length_boxes": ["OUTPUT_LABEL"],
+    "note_length_boxes_180": ["OUTPUT_LABEL_180"],
+    "note_length_density": ["OUTPUT_LABEL", "point"],
+    "age_kept": [],
+    "age_summary": [],
+    "age_boxes": ["OUTPUT_LABEL"],
+    "age_density": ["OUTPUT_LABEL", "point"],
+    "gender_counts": ["OUTPUT_LABEL", "GENDER"],
+}
+
+
+def profile_rows(frames: dict[str, DataFrame]) -> DataFrame:
+    """All frames of ``cohort_profile`` as one table: section, key, measure, value."""
+
+    def long(name: str, frame: DataFrame) -> DataFrame:
+        keys = PROFILE_KEYS[name]
+        measures = [c for c in frame.columns if c not in keys]
+        key = F.concat_ws("|", *[F.col(k).cast("string") for k in keys]).alias("key")
+        numbers = frame.select(key, *[F.col(c).cast("double").alias(c) for c in measures])
+        return numbers.unpivot(["key"], measures, "measure", "value").select(
+            F.lit(name).alias("section"), "key", "measure", "value"
+        )
+
+    return reduce(DataFrame.unionByName, [long(n, f) for n, f in frames.items()])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+from dataclasses import replace
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from wardflow.functions.text import space_tokens
 from wardflow.operators import classify, encode, evaluate, features, sampling
 from wardflow.plans import jobs
-from wardflow.registry.profiles import describe_sql
+from wardflow.registry.profiles import BOX, SUMMARY, box_sql, density_sql, describe_sql
 from wardflow.registry.query import Query
 from wardflow.registry.relational import (
     COHORT_COLUMNS,
@@ -23,9 +24,10 @@ from wardflow.registry.relational import (
     vocabulary,
 )
 from wardflow.registry.tables import gap_label
-from wardflow.sources import shared, standin
+from wardflow.sources import shared, sinks, standin
 
 KEYS = ["doc_id", "chunk_no"]
+SUMMARY_MEASURES, BOX_MEASURES = (" ".join(c.split(":")[0].strip() for c in x.split(",")) for x in (SUMMARY, BOX))
 SCORE_COLUMNS = "doc_id:i, chunk_no:i, Label:i, score:d, prediction:i"
 
 # evaluation --------------------------------------------------------------------------
@@ -281,7 +283,10 @@ FEATURES = [
     ),
 ]
 
-# classifiers: small sizes here, the full sizes are the defaults of the functions --------
+# classifiers, at the sizes of the tuned models ------------------------------------------
+
+#: Labelled chunks that a classifier is fitted on, those with the smallest hash of their id.
+FIT_ROWS = 2_000
 
 
 def chunks(spark, d):
@@ -290,95 +295,103 @@ def chunks(spark, d):
 
 
 def parts(spark, d):
-    """The chunks of the train and test documents, by hash."""
-    rows = sampling.hash_split(chunks(spark, d), F.col("ID"))
-    return {n: rows.where(F.col("split") == n).drop("split") for n in ("train", "test")}
+    """All chunks with ``split`` by a hash of the id, and those that a model is fitted on."""
+    share = sampling.hash_share(F.col("ID"))
+    split = F.when(share < 0.8, "train").when(share < 0.9, "val").otherwise("test")
+    rows = chunks(spark, d).withColumn("split", split)
+    order = [sampling.seeded_hash(F.col("ID"), 1), F.col("doc_id"), F.col("chunk_no")]
+    return rows, shared.materialised(rows.where("split = 'train'").orderBy(*order).limit(FIT_ROWS))
+
+
+def notebook_tfidf(rows):
+    return features.tfidf_stages().fit(rows)
 
 
-def small_tfidf(rows):
-    return features.tfidf_stages(features.SMALL_VOCABULARY).fit(rows)
+def plain_tfidf(rows):
+    """The second chain: fewer terms, stop words stay."""
+    return features.tfidf_stages(features.SMALL_VOCABULARY, drop_stop_words=False).fit(rows)
 
 
-def small_word2vec(rows):
-    return features.word2vec_stages(vector_size=32, min_count=10).fit(rows)
+def word2vec(rows):
+    return features.word2vec_stages().fit(rows)
 
 
-def scored_by(classifier, make_features=small_tfidf):
+def scored_by(classifier, make_features=notebook_tfidf):
+    """Fitted on the training split, all splits scored."""
+
     def frame(spark, d):
-        split = parts(spark, d)
-        model = classify.train(make_features(split["train"]), classifier(), split["train"])
-        return classify.score(model, split["test"], KEYS)
+        rows, train_set = parts(spark, d)
+        model = classify.train(make_features(train_set), classifier(), train_set)
+        return classify.score(model, rows, [*KEYS, "split"])
 
     return frame
 
 
-def report_of(classifier, make_features=small_tfidf):
+def report_of(classifier, make_features=plain_tfidf):
     def frame(spark, d):
-        split = parts(spark, d)
-        fitted = make_features(split["train"])
-        return jobs.train_and_evaluate(fitted, classifier(), split, KEYS)[1]
+        rows, train_set = parts(spark, d)
+        split = {n: rows.where(F.col("split") == n) for n in ("val", "test")}
+        return jobs.train_and_evaluate(
+            make_features(train_set), classifier(), {"train": train_set, **split}, KEYS
+        )[1]
 
     return frame
 
 
 def ml4(spark, d):
-    split = parts(spark, d)
-    chain = classify.nested(small_tfidf(split["train"]), classify.logistic(10, 0.01))
-    return classify.score(chain.fit(split["train"]), split["test"], KEYS)
+    """Scores of the nested chain, and whether the flat chain gives the same."""
+    rows, train_set = parts(spark, d)
+    fitted, classifier = notebook_tfidf(train_set), classify.logistic(10, 0.01)
+    nested = classify.score(classify.nested(fitted, classifier).fit(train_set), rows, [*KEYS, "split"])
+    flat = classify.score(classify.train(fitted, classifier, train_set), rows, KEYS)
+    near = F.abs(F.col("score") - F.col("_flat")) < 1e-9
+    return nested.join(flat.select(*KEYS, F.col("score").alias("_flat")), KEYS).withColumn(
+        "same", near.cast("int")
+    )
 
 
 def ml5(spark, d):
-    rows = chunks(spark, d)
-    vectors = small_word2vec(rows).transform(rows)
+    rows, train_set = parts(spark, d)
+    vectors = word2vec(train_set).transform(rows)
     return vectors.select(*KEYS, F.posexplode(vector_to_array("features")).alias("dim", "value"))
 
 
 def ml9(spark, d):
-    split = parts(spark, d)
-    model = classify.train(
-        small_tfidf(split["train"]), classify.boosted_trees(iterations=2, depth=4), split["train"]
-    )
+    rows, train_set = parts(spark, d)
+    model = classify.train(notebook_tfidf(train_set), classify.boosted_trees(), train_set)
     leaves = F.array_join(vector_to_array("leafId").cast("array<int>"), ",")
-    return model.transform(split["test"]).select(*KEYS, leaves.alias("leaves"), "prediction")
+    return model.transform(rows).select(*KEYS, "split", leaves.alias("leaves"), "prediction")
 
 
 def ml10(spark, d):
-    """The named models, made small, on the same features."""
-    split = parts(spark, d)
-    fitted = small_tfidf(split["train"])
+    """The named models on the same features, judged on the test split."""
+    rows, train_set = parts(spark, d)
+    fitted = plain_tfidf(train_set)
     out = []
-    for name, sizes in {
-        "lr": {"maxIter": 5},
-        "rf": {"numTrees": 5, "maxDepth": 5},
-        "gb": {"maxIter": 1, "maxDepth": 3},
-    }.items():
-        classifier = classify.choose_model(name)
-        classifier.setParams(**sizes)
-        model = classify.train(fitted, classifier, split["train"])
-        scored = classify.score(model, split["test"], KEYS)
+    for name in ("lr", "rf", "gb"):
+        model = classify.train(fitted, classify.choose_model(name), train_set)
+        scored = classify.score(model, rows.where("split = 'test'"), KEYS)
         out.append(evaluate.binary_metrics(scored).withColumn("model", F.lit(name)))
     return functools.reduce(lambda a, b: a.unionByName(b), out)
 
 
-def _search(spark, d, *axes):
-    """Some axes of the grid over shared features."""
-    train_set = parts(spark, d)["train"]
-    rows = small_tfidf(train_set).transform(train_set).select("Label", "features")
+@functools.lru_cache(maxsize=1)
+def _search(spark, d):
+    """The tuned grid, 42 points on 5 folds, over shared features; one search for its queries."""
+    _, train_set = parts(spark, d)
+    rows = notebook_tfidf(train_set).transform(train_set).select("Label", "features")
     classifier = classify.logistic()
-    grid = classify.regression_grid(classifier, *axes)
-    return classify.grid_metrics(spark, classify.cross_validate(classifier, grid, rows, folds=2))
-
-
-SMALL_GRID = ((1e-3, 1e-2), (5,), (0.0, 0.5))
+    grid = classify.regression_grid(classifier)
+    return classify.grid_metrics(spark, classify.cross_validate(classifier, grid, rows))
 
 
 def ml13(spark, d):
-    split = parts(spark, d)
-    train_set = split["train"]
-    chain = classify.nested(small_tfidf(train_set), classify.logistic())
-    grid = classify.regression_grid(chain.getStages()[-1], (1e-3, 1e-2), (5,), (0.5,))
-    fitted = classify.cross_validate(chain, grid, train_set, folds=2)
-    return classify.score(fitted.bestModel, split["test"], KEYS)
+    """The chain refitted on each fold over the grid; the best chain scores all splits."""
+    rows, train_set = parts(spark, d)
+    chain = classify.nested(notebook_tfidf(train_set), classify.logistic())
+    grid = classify.regression_grid(chain.getStages()[-1])
+    fitted = classify.cross_validate(chain, grid, train_set)
+    return classify.score(fitted.bestModel, rows, [*KEYS, "split"])
 
 
 def ml15(spark, d):
@@ -389,60 +402,54 @@ def ml15(spark, d):
     rows = shared.materialised(
         pooled.select("doc_id", whole, "Label", F.col("pooled").alias("features"))
     )
-    width = 64
-    model = classify.fit_on_features(classify.perceptron(inputs=width), rows)
-    return classify.score(model, rows, KEYS)
+    rows = sampling.hash_split(rows, F.col("doc_id"))
+    width = len(rows.first()["features"])
+    train = rows.where(F.col("split") == "train")
+    model = classify.fit_on_features(classify.perceptron(inputs=width), train)
+    return classify.score(model, rows, [*KEYS, "split"])
+
 
+GRID_COLUMNS = "regParam:d, maxIter:d, elasticNetParam:d, fMeasureByLabel:d"
+SPLIT_SCORES = SCORE_COLUMNS + ", split:s"
 
 MODELS = [
-    Query("ml4_nested_stages", SCORE_COLUMNS, ml4),
+    Query(
+        "ml4_nested_stages",
+        "doc_id:i, chunk_no:i, Label:i, split:s, same:i",
+        ml4,
+        """SELECT doc_id, chunk_no, "Label", 1 AS same,
+                  CASE WHEN share < 0.8 THEN 'train' WHEN share < 0.9 THEN 'val' ELSE 'test' END AS split
+           FROM (SELECT *, ('0x' || substr(md5("ID"::VARCHAR), 1, 8))::BIGINT
+                           / 4294967296.0::DOUBLE AS share FROM doc_chunks)""",
+        ("doc_chunks",),
+    ),
     Query("ml5_word2vec_features", "doc_id:i, chunk_no:i, dim:i, value:d", ml5),
-    Query("ml6_logistic_scores", SCORE_COLUMNS, scored_by(lambda: classify.logistic(20, 1e-4))),
+    Query("ml6_logistic_scores", SPLIT_SCORES, scored_by(lambda: classify.logistic(20, 1e-4))),
     Query(
         "ml6_elastic_net_scores",
-        SCORE_COLUMNS,
+        SPLIT_SCORES,
         scored_by(lambda: classify.logistic(10, 0.005, 0.5)),
     ),
     Query(
         "ml6_logistic_on_word2vec",
-        SCORE_COLUMNS,
-        scored_by(lambda: classify.logistic(10, 1e-4), small_word2vec),
+        SPLIT_SCORES,
+        scored_by(lambda: classify.logistic(10, 1e-4), word2vec),
     ),
-    Query(
-        "ml7_forest_scores",
-        SCORE_COLUMNS,
-        scored_by(lambda: classify.forest(trees=10, depth=8, subsample=0.88)),
-    ),
-    Query("ml8_naive_bayes_scores", SCORE_COLUMNS, scored_by(classify.naive_bayes)),
-    Query("ml9_boosted_tree_leaves", "doc_id:i, chunk_no:i, leaves:s, prediction:i", ml9),
+    Query("ml7_forest_scores", SPLIT_SCORES, scored_by(lambda: classify.forest(subsample=0.88))),
+    Query("ml8_naive_bayes_scores", SPLIT_SCORES, scored_by(classify.naive_bayes)),
+    Query("ml9_boosted_tree_leaves", "doc_id:i, chunk_no:i, split:s, leaves:s, prediction:i", ml9),
     Query("ml10_named_models", "model:s, accuracy:d, precision:d, recall:d, f1:d", ml10),
     Query(
         "ml11_train_and_report",
         "split:s, auroc:d, auprc:d, rp80:d, accuracy:d, precision:d, recall:d, f1:d",
         report_of(lambda: classify.logistic(10, 0.01)),
     ),
-    Query(
-        "ml12_grid_metrics",
-        "regParam:d, maxIter:d, elasticNetParam:d, fMeasureByLabel:d",
-        lambda s, d: _search(s, d, classify.REG_PARAMS, (5,), (0.5,)),
-    ),
-    Query("ml13_cross_validated_scores", SCORE_COLUMNS, ml13),
-    Query(
-        "ml14_cross_validation_table",
-        "regParam:d, maxIter:d, elasticNetParam:d, fMeasureByLabel:d",
-        lambda s, d: _search(s, d, *SMALL_GRID),
-    ),
-    Query(
-        "so4_best_parameters",
-        "regParam:d, maxIter:d, elasticNetParam:d, fMeasureByLabel:d",
-        lambda s, d: classify.best_point(_search(s, d, *SMALL_GRID)),
-    ),
-    Query("ml15_pooled_perceptron_scores", SCORE_COLUMNS, ml15),
-    Query(
-        "ml16_chunk_scores",
-        SCORE_COLUMNS,
-        scored_by(lambda: classify.logistic(10, 0.01)),
-    ),
+    Query("ml12_grid_metrics", GRID_COLUMNS, _search),
+    Query("ml13_cross_validated_scores", SPLIT_SCORES, ml13),
+    Query("ml14_cross_validation_table", GRID_COLUMNS, _search),
+    Query("so4_best_parameters", GRID_COLUMNS, lambda s, d: classify.best_point(_search(s, d))),
+    Query("ml15_pooled_perceptron_scores", SPLIT_SCORES, ml15),
+    Query("ml16_chunk_scores", SPLIT_SCORES, scored_by(lambda: classify.logistic(10, 0.01))),
 ]
 
 # composite jobs ----------------------------------------------------------------------
@@ -466,27 +473,105 @@ def jb4(spark, d):
     """Train on the balanced cohort chunks and report each split."""
     rows = shared.materialised(jobs.training_data(src(spark, d), 180))
     split = {n: rows.where(F.col("split") == n) for n in ("train", "val", "test")}
-    fitted = small_tfidf(split["train"])
+    fitted = plain_tfidf(split["train"])
     return jobs.train_and_evaluate(fitted, classify.logistic(10, 0.005, 0.5), split, ["ID", "chunk_no"])[1]
 
 
+def jb6_stored(spark, d):
+    """From chunk scores that were written and read again by their key."""
+    keys = ["ID", "doc_id", "chunk_no"]
+    path = sinks.write_chunk_scores(scores(spark, d), shared.shared_path(spark, "jb6"), keys)
+    stored = spark.read.parquet(path).withColumnsRenamed(
+        {"logits": "score", "pred_label": "prediction", "label": "Label"}
+    )
+    return jobs.vote_report(stored)
+
+
 def jb7(spark, d):
-    """The one-row summaries of the profile, one under the other."""
-    frames = jobs.cohort_profile(src(spark, d), standin.demographics(spark, d))
-    named = [
-        frames[n].withColumn("section", F.lit(n))
-        for n in ("gap_summary", "note_length", "notes_per_admission", "age_summary")
-    ]
-    return functools.reduce(lambda a, b: a.unionByName(b), named)
+    return jobs.profile_rows(jobs.cohort_profile(src(spark, d), standin.demographics(spark, d)))
+
+
+def jb8(spark, d):
+    vectors = shared.materialised(standin.vector_table(spark, d))
+    return jobs.embedding_classifier(src(spark, d), vectors)[1]
 
 
+def _by(key, values, table):
+    return f"SELECT {key}, {values} FROM {table} GROUP BY ALL"
+
+
+TRANSITIONS = ", ".join(
+    f"""count(*) FILTER ("NEXT_ADMISSION_TYPE" = '{t}') AS "{t}" """ for t in jobs.ADMISSION_TYPES
+)
+# section: measures and SQL of each frame of the profile
 JB7_SECTIONS = {
-    "gap_summary": ('"DAYS_NEXT_ADMIT"', "cohort"),
-    "note_length": ("note_len", "cohort"),
-    "notes_per_admission": ("notecnt", "per_admission"),
-    "age_summary": ('"AGE"', "aged"),
+    "type_shares": (
+        "n share",
+        """SELECT "ADMISSION_TYPE", count(*) AS n,
+                  count(*) / (sum(count(*)) OVER ())::DOUBLE AS share FROM source GROUP BY 1""",
+    ),
+    "gap_summary": (SUMMARY_MEASURES, describe_sql('"DAYS_NEXT_ADMIT"', "cohort")),
+    "label_counts": (
+        "Count",
+        """SELECT 'OUTPUT_LABEL' AS "Target", "OUTPUT_LABEL"::VARCHAR AS "Readmission_label",
+                  count(*) AS "Count" FROM cohort GROUP BY 2
+           UNION ALL SELECT 'OUTPUT_LABEL_180', "OUTPUT_LABEL_180"::VARCHAR, count(*) FROM cohort
+           GROUP BY 2""",
+    ),
+    "transitions": (
+        " ".join([*jobs.ADMISSION_TYPES, "other"]),
+        f"""SELECT "ADMISSION_TYPE", {TRANSITIONS},
+                   count(*) FILTER ("NEXT_ADMISSION_TYPE" NOT IN {tuple(jobs.ADMISSION_TYPES)}) AS other
+            FROM cohort WHERE "ADMISSION_TYPE" IS NOT NULL AND "NEXT_ADMISSION_TYPE" IS NOT NULL
+            GROUP BY 1""",
+    ),
+    "note_length": (SUMMARY_MEASURES, describe_sql("note_len", "cohort")),
+    "note_length_by_label": (
+        "min_len max_len mean_len",
+        _by(
+            '"OUTPUT_LABEL"',
+            "min(note_len) AS min_len, max(note_len) AS max_len, avg(note_len) AS mean_len",
+            "cohort",
+        ),
+    ),
+    "notes_per_admission": (SUMMARY_MEASURES, describe_sql("notecnt", "per_admission")),
+    "multi_note_ratio": (
+        "ratio",
+        """SELECT count(*) FILTER (notecnt > 1) / (SELECT count(*) FROM source)::DOUBLE AS ratio
+           FROM per_admission""",
+    ),
+    "note_length_boxes": (BOX_MEASURES, box_sql("OUTPUT_LABEL", "note_len", "cohort")),
+    "note_length_boxes_180": (BOX_MEASURES, box_sql("OUTPUT_LABEL_180", "note_len", "cohort")),
+    "note_length_density": ("x density", density_sql("OUTPUT_LABEL", "note_len", "cohort")),
+    "age_kept": (
+        "kept_share",
+        """SELECT count(*) FILTER ("AGE" < 200) / count(*)::DOUBLE AS kept_share FROM aged""",
+    ),
+    "age_summary": (SUMMARY_MEASURES, describe_sql('"AGE"', "aged")),
+    "age_boxes": (BOX_MEASURES, box_sql("OUTPUT_LABEL", '"AGE"', "adults")),
+    "age_density": ("x density", density_sql("OUTPUT_LABEL", '"AGE"', "adults")),
+    "gender_counts": ("n", _by('"OUTPUT_LABEL", "GENDER"', "count(*) AS n", "adults")),
 }
 
+
+def profile_sql():
+    tables = """
+        per_admission AS (SELECT count(*) AS notecnt FROM source GROUP BY "SUBJECT_ID", "HADM_ID"),
+        aged AS (SELECT cohort."OUTPUT_LABEL", people.* FROM cohort
+                 LEFT JOIN people USING ("SUBJECT_ID", "HADM_ID")),
+        adults AS (SELECT * FROM aged WHERE "AGE" < 200)"""
+    tables += "".join(f", s_{n} AS ({sql})" for n, (_, sql) in JB7_SECTIONS.items())
+    parts = []
+    for name, (measures, _) in JB7_SECTIONS.items():
+        keys = ", ".join(f'"{k}"::VARCHAR' for k in jobs.PROFILE_KEYS[name]) or "''"
+        for m in measures.split():
+            parts.append(
+                f"SELECT '{name}' AS section, concat_ws('|', {keys}) AS key,"
+                f" '{m}' AS measure, \"{m}\"::DOUBLE AS value FROM s_{name}"
+            )
+    return f"WITH {tables} " + " UNION ALL ".join(parts)
+
+
 JOBS = [
     cohort_query(30),
     cohort_query(180),
@@ -538,17 +623,25 @@ JOBS = [
     ),
     Query(
         "jb7_cohort_profile",
-        "section:s, count:i, mean:d, std:d, min:d, q25:d, q50:d, q75:d, max:d",
+        "section:s, key:s, measure:s, value:d",
         jb7,
-        'WITH per_admission AS (SELECT count(*) AS notecnt FROM source'
-        ' GROUP BY "SUBJECT_ID", "HADM_ID"),'
-        ' aged AS (SELECT "AGE" FROM cohort LEFT JOIN people USING ("SUBJECT_ID", "HADM_ID")) '
-        + " UNION ALL ".join(
-            f"SELECT '{name}' AS section, * FROM ({describe_sql(value, table)})"
-            for name, (value, table) in JB7_SECTIONS.items()
-        ),
+        profile_sql(),
         ("cohort", "people"),
     ),
+    Query(
+        "jb8_embedding_classifier",
+        "split:s, auroc:d, auprc:d, rp80:d, accuracy:d, precision:d, recall:d, f1:d",
+        jb8,
+    ),
 ]
 
+# the report of stored scores is the report of the scores
+JOBS.append(
+    next(
+        replace(q, name="jb6_vote_report_from_store", frame=jb6_stored)
+        for q in JOBS
+        if q.name == "jb6_vote_report"
+    )
+)
+
 QUERIES = EVALUATION + FEATURES + MODELS + JOBS

@@ -251,7 +251,7 @@ QUERIES = [
     ),
     Query(
         "ag13_type_transitions",
-        "ADMISSION_TYPE:s, " + ", ".join(f"{t}:i" for t in jobs.ADMISSION_TYPES),
+        "ADMISSION_TYPE:s, " + ", ".join(f"{t}:i" for t in [*jobs.ADMISSION_TYPES, "other"]),
         lambda s, d: profile.cross_table(
             gaps(s, d), "ADMISSION_TYPE", "NEXT_ADMISSION_TYPE", jobs.ADMISSION_TYPES
         ),
@@ -260,6 +260,7 @@ QUERIES = [
             f"""count(*) FILTER ("NEXT_ADMISSION_TYPE" = '{t}') AS "{t}" """
             for t in jobs.ADMISSION_TYPES
         )
+        + f""", count(*) FILTER ("NEXT_ADMISSION_TYPE" NOT IN {tuple(jobs.ADMISSION_TYPES)}) AS other """
         + """FROM gaps WHERE "ADMISSION_TYPE" IS NOT NULL AND "NEXT_ADMISSION_TYPE" IS NOT NULL
              GROUP BY 1""",
         ("gaps",),

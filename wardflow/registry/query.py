@@ -1,7 +1,7 @@
 """A registered query: a Spark frame, and the same result as SQL where SQL can say it.
 
 ``columns`` lists ``name:kind`` pairs and shapes both sides alike. Kinds: i (64-bit
-integer), d (double, 6 digits), s (string), t (timestamp, as text).
+integer), d (double, 9 significant digits, 0 below 1e-12), s (string), t (timestamp, as text).
 """
 
 from __future__ import annotations
@@ -43,18 +43,24 @@ def _spark_column(name: str, kind: str) -> Column:
     column = F.col(f"`{name}`")
     shaped = {
         "i": lambda: column.cast("bigint"),
-        "d": lambda: F.round(column.cast("double"), 6) + F.lit(0.0),
+        "d": lambda: _digits(column.cast("double")),
         "s": lambda: column.cast("string"),
         "t": lambda: column.cast("string"),
     }[kind]()
     return shaped.alias(name)
 
 
+def _digits(number: Column) -> Column:
+    digits = F.format_string("%.8e", number).cast("double")
+    return F.when(F.abs(number) < 1e-12, 0.0).when(number.isNotNull(), digits)
+
+
 def _sql_column(name: str, kind: str) -> str:
     column = f'"{name}"'
     shaped = {
         "i": f"CAST({column} AS BIGINT)",
-        "d": f"round(CAST({column} AS DOUBLE), 6) + 0.0",
+        "d": f"CASE WHEN abs(CAST({column} AS DOUBLE)) < 1e-12 THEN 0.0"
+        f" ELSE CAST(printf('%.8e', CAST({column} AS DOUBLE)) AS DOUBLE) END",
         "s": f"CAST({column} AS VARCHAR)",
         "t": f"CAST({column} AS VARCHAR)",
     }[kind]

@@ -106,8 +106,10 @@ def src7(spark, d):
 
 
 def src8(spark, d):
+    """The planned admissions and all others, types that are NULL or unheard of included."""
     admissions = cohort.distinct_admissions(src(spark, d))
-    parts = [admissions.where(F.col("ADMISSION_TYPE") == t) for t in TYPES]
+    planned = F.col("ADMISSION_TYPE").eqNullSafe("ELECTIVE")
+    parts = [admissions.where(planned), admissions.where(~planned)]
     return readers.union_all(parts).select("SUBJECT_ID", "HADM_ID", "ADMISSION_TYPE")
 
 
@@ -132,7 +134,9 @@ def snk3(spark, d):
 
 
 def snk3_chunks(spark, d):
-    path = sinks.write_chunk_scores(standin.scores(spark, d), shared.shared_path(spark, "snk3c"))
+    path = sinks.write_chunk_scores(
+        standin.scores(spark, d), shared.shared_path(spark, "snk3c"), ["ID", "doc_id", "chunk_no"]
+    )
     return readers.parquet_table(spark, path)
 
 
@@ -146,8 +150,8 @@ def snk4(spark, d):
 
 def _small_model(spark, d):
     chunks = shared.materialised(standin.labelled_chunks(spark, d))
-    fitted = features.tfidf_stages(features.SMALL_VOCABULARY).fit(chunks)
-    return chunks, fitted, classify.logistic(max_iter=5, reg=0.01)
+    fitted = features.tfidf_stages(features.SMALL_VOCABULARY, drop_stop_words=False).fit(chunks)
+    return chunks, fitted, classify.logistic(max_iter=20, reg=0.01)
 
 
 def snk5(spark, d):
@@ -164,7 +168,11 @@ def snk6(spark, d):
     chunks, fitted, classifier = _small_model(spark, d)
     model = classify.train(fitted, classifier, chunks)
     path = sinks.save_model(model, shared.shared_path(spark, "snk6"))
-    return classify.score(PipelineModel.load(path), chunks, ["doc_id", "chunk_no"])
+    keys = ["doc_id", "chunk_no"]
+    before = classify.score(model, chunks, keys).select(*keys, F.col("score").alias("_before"))
+    after = classify.score(PipelineModel.load(path), chunks, keys)
+    same = (F.col("score") == F.col("_before")).cast("int")
+    return after.join(before, keys).withColumn("same", same)
 
 
 DOC_COPY = """SELECT doc_id AS "ID", "TEXT", "Label", length("TEXT") AS text_len,
@@ -235,9 +243,10 @@ SOURCES = [
     ),
     Query(
         "snk3_chunk_scores",
-        "logits:d, pred_label:i, label:i",
+        "ID:i, doc_id:i, chunk_no:i, logits:d, pred_label:i, label:i",
         snk3_chunks,
-        'SELECT score AS logits, prediction AS pred_label, "Label" AS label FROM scores',
+        """SELECT "ID", doc_id, chunk_no, score AS logits, prediction AS pred_label,
+                  "Label" AS label FROM scores""",
         ("scores",),
     ),
     Query(
@@ -255,7 +264,13 @@ SOURCES = [
         ("scores",),
     ),
     Query("snk5_loss_history", "step:i, loss:d", snk5),
-    Query("snk6_saved_model_scores", "doc_id:i, chunk_no:i, Label:i, score:d, prediction:i", snk6),
+    Query(
+        "snk6_saved_model_scores",
+        "doc_id:i, chunk_no:i, Label:i, same:i",
+        snk6,
+        'SELECT doc_id, chunk_no, "Label", 1 AS same FROM doc_chunks',
+        ("doc_chunks",),
+    ),
 ]
 
 # projections, filters, conditionals --------------------------------------------------
@@ -767,9 +782,13 @@ def sp4(spark, d):
 
 
 def sp5_random(spark, d):
-    train, test = sampling.random_split(gaps(spark, d).select("HADM_ID"))
-    named = [p.withColumn("split", F.lit(n)) for n, p in (("train", train), ("test", test))]
-    return readers.union_all(named)
+    """Every id with the number of parts of the random split that hold it."""
+    ids = shared.materialised(gaps(spark, d).select("HADM_ID"))
+    train, test = sampling.random_split(ids)
+    share = train.count() / max(1, ids.count())
+    held = readers.union_all([train, test]).groupBy("HADM_ID").agg(F.count("*").alias("parts"))
+    near = F.lit(int(abs(share - 0.8) < 0.1)).alias("share_is_near")
+    return ids.join(held, "HADM_ID", "left").select("HADM_ID", "parts", near)
 
 
 SAMPLING = [
@@ -801,7 +820,13 @@ SAMPLING = [
         'SELECT *, length("TEXT") AS text_len, md5("TEXT") AS text_md5 FROM chunk_splits',
         ("chunk_splits",),
     ),
-    Query("sp5_random_split", "HADM_ID:i, split:s", sp5_random),
+    Query(
+        "sp5_random_split",
+        "HADM_ID:i, parts:i, share_is_near:i",
+        sp5_random,
+        'SELECT "HADM_ID", 1 AS parts, 1 AS share_is_near FROM gaps',
+        ("gaps",),
+    ),
     Query(
         "sp5_hash_split",
         "HADM_ID:i, split:s",

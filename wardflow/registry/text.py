@@ -19,7 +19,7 @@ from wardflow.registry.relational import (
 from wardflow.registry.tables import chunk_sql, clean_sql
 from wardflow.sources import readers, standin
 
-SEQUENCE_LENGTH = 128
+SEQUENCE_LENGTH = 512
 PAIR_LIMIT = SEQUENCE_LENGTH - 3
 
 
@@ -262,7 +262,36 @@ ARRAYS = [
         FROM seqs""",
         ("doc_chunks", "vocabulary"),
     ),
-    Query("ar2_sub_words", "token:s, n:i, tokens:s", ar2),
+    Query(
+        "ar2_sub_words",
+        "token:s, n:i, tokens:s",
+        ar2,
+        """
+        WITH RECURSIVE words AS (
+            SELECT DISTINCT token FROM doc_terms),
+        chars AS (
+            SELECT DISTINCT c FROM (SELECT unnest(string_split(token, '')) AS c FROM words)
+            WHERE c <> ''),
+        pieces AS (
+            SELECT token AS piece FROM vocabulary
+            UNION SELECT c FROM chars UNION SELECT '##' || c FROM chars),
+        best AS (
+            SELECT token, i, max(j) AS j
+            FROM (SELECT token, i, unnest(range(i, length(token) + 1)) AS j
+                  FROM (SELECT token, unnest(range(1, length(token) + 1)) AS i FROM words))
+            JOIN pieces
+              ON piece = CASE WHEN i > 1 THEN '##' ELSE '' END || substr(token, i, j - i + 1)
+            GROUP BY token, i),
+        walk(token, place, found) AS (
+            SELECT token, 1::BIGINT, []::VARCHAR[] FROM words
+            UNION ALL
+            SELECT walk.token, j + 1, list_append(found,
+                CASE WHEN i > 1 THEN '##' ELSE '' END || substr(walk.token, i, j - i + 1))
+            FROM walk JOIN best ON walk.token = best.token AND place = i)
+        SELECT token, len(found) AS n, array_to_string(found, '|') AS tokens
+        FROM walk WHERE place = length(token) + 1""",
+        ("doc_terms", "vocabulary"),
+    ),
     Query(
         "ar3_pair_truncation",
         "pair:i, len_a:i, len_b:i, a_md5:s, b_md5:s",

@@ -3,34 +3,41 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session. Only a local session may do without it."""
+    """``spark.checkpoint.dir`` of the session; where unset, a folder in its warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-    return tempfile.mkdtemp(prefix="wardflow-")
+    return folder or os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "wardflow-tables")
 
 
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder."""
-    return os.path.join(shared_folder(spark), f"wardflow-{name}-{uuid.uuid4().hex}")
+def shared_path(spark: SparkSession, name: str, folder: str | None = None) -> str:
+    """A new path below ``folder``, by default the shared one; it goes when the session ends."""
+    path = os.path.join(folder or shared_folder(spark), f"wardflow-{name}-{uuid.uuid4().hex}")
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    return path
 
 
-def materialised(df: DataFrame) -> DataFrame:
-    """The frame written once to the shared folder and read back.
+def materialised(df: DataFrame, folder: str | None = None) -> DataFrame:
+    """The frame written once to ``folder``, by default the shared one, and read back.
 
     For plans that read it several times: the lineage ends at the table, and each reader
-    takes only its columns.
+    takes only its columns. ``drop_table`` removes it before the session ends.
     """
     spark = df.sparkSession
-    path = shared_path(spark, "table")
+    path = shared_path(spark, "table", folder)
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+def drop_table(table: DataFrame) -> None:
+    """Remove what ``materialised`` wrote; its readers must be done."""
+    spark = table.sparkSession
+    for folder in {os.path.dirname(f) for f in table.inputFiles()}:
+        if os.path.basename(folder).startswith("wardflow-table-"):
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -48,8 +48,10 @@ def write_splits(splits: DataFrame, folder: str) -> dict[str, str]:
     return {name: os.path.join(folder, f"split={name}") for name in ("train", "val", "test")}
 
 
-def write_chunk_scores(scored: DataFrame, path: str) -> str:
+def write_chunk_scores(scored: DataFrame, path: str, keys: list[str]) -> str:
+    """Scores with the key of their chunk, by which they are joined later."""
     out = scored.select(
+        *keys,
         F.col("score").alias("logits"),
         F.col("prediction").cast("int").alias("pred_label"),
         F.col("Label").cast("int").alias("label"),

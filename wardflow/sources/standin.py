@@ -18,17 +18,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores where the files give fewer splits than there are cores.
-
-    Large inputs have many splits and are left as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return spread(table(spark, folder, "documents"), "doc_id")
+    return table(spark, folder, "documents")
 
 
 def _days(n: Column) -> Column:
