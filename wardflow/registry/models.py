@@ -317,12 +317,13 @@ def word2vec(rows):
 
 
 def scored_by(classifier, make_features=notebook_tfidf):
-    """Fitted on the training split, all splits scored."""
+    """Fitted on the training split, all splits scored; written once for its two queries."""
 
+    @functools.lru_cache(maxsize=1)
     def frame(spark, d):
         rows, train_set = parts(spark, d)
         model = classify.train(make_features(train_set), classifier(), train_set)
-        return classify.score(model, rows, [*KEYS, "split"])
+        return shared.materialised(classify.score(model, rows, [*KEYS, "split"]))
 
     return frame
 
@@ -385,13 +386,14 @@ def _search(spark, d):
     return classify.grid_metrics(spark, classify.cross_validate(classifier, grid, rows))
 
 
+@functools.lru_cache(maxsize=1)
 def ml13(spark, d):
     """The chain refitted on each fold over the grid; the best chain scores all splits."""
     rows, train_set = parts(spark, d)
     chain = classify.nested(notebook_tfidf(train_set), classify.logistic())
     grid = classify.regression_grid(chain.getStages()[-1])
     fitted = classify.cross_validate(chain, grid, train_set)
-    return classify.score(fitted.bestModel, rows, [*KEYS, "split"])
+    return shared.materialised(classify.score(fitted.bestModel, rows, [*KEYS, "split"]))
 
 
 def ml15(spark, d):
@@ -409,6 +411,27 @@ def ml15(spark, d):
     return classify.score(model, rows, [*KEYS, "split"])
 
 
+#: All chunks with their split and a flag that is 1.
+SPLIT_CHUNKS = """SELECT doc_id, chunk_no, "Label", 1 AS {},
+                  CASE WHEN share < 0.8 THEN 'train' WHEN share < 0.9 THEN 'val' ELSE 'test' END AS split
+           FROM (SELECT *, ('0x' || substr(md5("ID"::VARCHAR), 1, 8))::BIGINT
+                           / 4294967296.0::DOUBLE AS share FROM doc_chunks)"""
+
+
+def sound(query):
+    """Every chunk is scored once, with its label and split, a score from 0 to 1, and the
+    prediction that the score asks for."""
+
+    def frame(spark, d):
+        asked = (F.col("score") > 0.5).cast("int")
+        good = F.col("score").between(0, 1) & (F.col("prediction") == asked)
+        return query.frame(spark, d).withColumn("sound", F.coalesce(good, F.lit(False)).cast("int"))
+
+    name = query.name.replace("_scores", "") + "_sound"
+    columns = "doc_id:i, chunk_no:i, Label:i, split:s, sound:i"
+    return Query(name, columns, frame, SPLIT_CHUNKS.format("sound"), ("doc_chunks",))
+
+
 GRID_COLUMNS = "regParam:d, maxIter:d, elasticNetParam:d, fMeasureByLabel:d"
 SPLIT_SCORES = SCORE_COLUMNS + ", split:s"
 
@@ -417,10 +440,7 @@ MODELS = [
         "ml4_nested_stages",
         "doc_id:i, chunk_no:i, Label:i, split:s, same:i",
         ml4,
-        """SELECT doc_id, chunk_no, "Label", 1 AS same,
-                  CASE WHEN share < 0.8 THEN 'train' WHEN share < 0.9 THEN 'val' ELSE 'test' END AS split
-           FROM (SELECT *, ('0x' || substr(md5("ID"::VARCHAR), 1, 8))::BIGINT
-                           / 4294967296.0::DOUBLE AS share FROM doc_chunks)""",
+        SPLIT_CHUNKS.format("same"),
         ("doc_chunks",),
     ),
     Query("ml5_word2vec_features", "doc_id:i, chunk_no:i, dim:i, value:d", ml5),
@@ -452,6 +472,10 @@ MODELS = [
     Query("ml16_chunk_scores", SPLIT_SCORES, scored_by(lambda: classify.logistic(10, 0.01))),
 ]
 
+MODELS += [
+    sound(q) for q in MODELS if q.columns == SPLIT_SCORES and q.name != "ml15_pooled_perceptron_scores"
+]
+
 # composite jobs ----------------------------------------------------------------------
 
 
