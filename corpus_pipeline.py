@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardflow.llm import lines, minhash, mixing, packing, quality
-from wardflow.llm.common import table
+from wardflow.llm.common import bound_batches, table
 from wardflow.llm.queries import THRESHOLD, tokenizer_path
 from wardflow.sources.shared import materialised
 
@@ -19,18 +19,21 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that the quality classifier rejects."""
+    bound_batches(spark)
     model, _ = quality.fit(docs, table(spark, sf_dir, "labels"))
     return quality.keep_good(docs.select(*COLUMNS), model, THRESHOLD)
 
 
 def unique_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the lines that other documents hold too; n_chars follows the text."""
+    bound_batches(spark)
     kept = lines.dedup_lines(docs.select(*COLUMNS))
     return kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*COLUMNS)
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, the one with the smallest doc_id."""
+    bound_batches(spark)
     found = minhash.near_duplicates(docs, words=5, percent=80)
     lost = found.where("doc_id <> component_id").select("doc_id").distinct()
     return docs.select(*COLUMNS).join(lost, "doc_id", "left_anti").select(*COLUMNS)
@@ -38,11 +41,13 @@ def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn and repeated so that sources weigh as the root of their size."""
+    bound_batches(spark)
     return mixing.mix(docs.select(*COLUMNS)).select(*COLUMNS)
 
 
 def packed_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in windows of 1024 tokens."""
+    bound_batches(spark)
     return packing.pack(docs, tokenizer_path(), with_ids=False)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -10,11 +10,23 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Entries of a word cache inside a Python worker; a full cache is emptied.
-CACHE_WORDS = 400_000
+#: Words that a task remembers; those that come later are hashed whenever they occur.
+KEPT_WORDS = 150_000
+
+
+#: Bytes of rows that go to a Python worker at once.
+BATCH_BYTES = 4 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bound what an executor and its Python workers hold of long texts, unless the session does."""
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(setting, None) is None:
+        spark.conf.set(setting, BATCH_BYTES)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -36,31 +48,33 @@ def int_list(arrays: list[np.ndarray]) -> pa.Array:
 
 
 def rows_of(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
-    """Batches of at most n rows, so that what is built from one stays small."""
+    """Batches of at most n rows, so that what is built from one stays small.
+
+    At the end the task's memory goes back: the worker lives on.
+    """
     for batch in batches:
         for at in range(0, batch.num_rows, n):
             yield batch.slice(at, n)
+    pa.default_memory_pool().release_unused()
 
 
 class WordHashes:
-    """64-bit hashes of words, with a bounded cache."""
+    """64-bit hashes of words, with a bounded memory."""
 
-    def __init__(self, limit: int = CACHE_WORDS, of: Callable[[bytes], int] | None = None) -> None:
+    def __init__(self, limit: int = KEPT_WORDS) -> None:
         self.limit = limit
-        self.of = of or (lambda word: xxhash.xxh3_64_intdigest(word) - (1 << 63))
         self.known: dict[bytes, int] = {}
 
     def __call__(self, words: list[bytes]) -> np.ndarray:
         known = self.known
-        try:
-            return np.array([known[w] for w in words], np.int64)
-        except KeyError:
-            if len(known) > self.limit:
-                known.clear()
-            for w in words:
-                if w not in known:
-                    known[w] = self.of(w)
-            return np.array([known[w] for w in words], np.int64)
+        new = set(words).difference(known)
+        for w in new:
+            known[w] = xxhash.xxh3_64_intdigest(w) - (1 << 63)
+        hashes = np.array(list(map(known.__getitem__, words)), np.int64)
+        if len(known) > self.limit:
+            for w in new:
+                del known[w]
+        return hashes
 
 
 def mix(x: np.ndarray) -> np.ndarray:
