@@ -158,26 +158,25 @@ def _keyed(docs: DataFrame) -> DataFrame:
 def assign(keyed: DataFrame, shards: int, tolerance: float) -> DataFrame:
     """``keyed`` (with a, b, w) with ``shard`` and ``slot``, the place in the shard's order.
 
-    Shards are numbered in cells of about CELL_ROWS rows; each cell is one task's work.
+    Shards are numbered in cells of about CELL_ROWS rows; each cell is one task's work. One
+    count per cell comes to the driver.
     """
     narrow = materialised(keyed.select("a", "b", "w"))
     cells = 1 + narrow.count() // (shards * CELL_ROWS)
     cuts, _ = splitters(narrow, shards * cells, tolerance)
     known = [c for c in cuts if c is not None]
     a, b = F.col("a"), F.col("b")
-    sizes = narrow.groupBy(at_or_below(a, b, known).alias("_cell")).agg(F.count(F.lit(1)).alias("n"))
-    order = W.partitionBy("_shard").orderBy("_cell").rowsBetween(W.unboundedPreceding, -1)
-    before = sizes.withColumn("_shard", F.expr(f"_cell div {cells}")).select(
-        F.col("_cell").alias("_of"), F.coalesce(F.sum("n").over(order), F.lit(0)).alias("_before")
-    )
-    placed = keyed.withColumn("_cell", at_or_below(a, b, known))
+    held = narrow.select(at_or_below(a, b, known).alias("_cell")).groupBy("_cell").count().collect()
+    sizes, before = {row["_cell"]: row["count"] for row in held}, []
+    for cell in range(shards * cells):  # rows of the shard in earlier cells
+        before.append(before[-1] + sizes.get(cell - 1, 0) if cell % cells else 0)
     row = F.row_number().over(W.partitionBy("_cell").orderBy("a", "b"))
     return (
-        placed.withColumn("_row", row)
-        .join(before, F.col("_cell") == F.col("_of"))
+        keyed.withColumn("_cell", at_or_below(a, b, known))
+        .withColumn("_row", row)
         .withColumn("shard", F.expr(f"_cell div {cells}").cast("int"))
-        .withColumn("slot", F.col("_before") + F.col("_row") - 1)
-        .drop("_cell", "_row", "_of", "_before")
+        .withColumn("slot", F.get(longs(before), F.col("_cell")) + F.col("_row") - 1)
+        .drop("_cell", "_row")
     )
 
 
