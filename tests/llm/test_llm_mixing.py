@@ -36,6 +36,12 @@ def test_counts_follow_the_inverse_poisson_distribution(spark):
     assert all(r.copy < r.n_copies for r in mixed)
 
 
+def test_join_beyond_the_bound(spark, monkeypatch):
+    small = rows_of(mixing.mix(documents(spark), total=40))
+    monkeypatch.setattr(mixing, "MAX_SOURCES", 1)
+    assert rows_of(mixing.mix(documents(spark), total=40)) == small
+
+
 def test_sources_without_weight_go(spark):
     mixed = mixing.mix(documents(spark), weights={"s1": 1.0, "absent": 2.0}, total=30).collect()
     assert {r.source for r in mixed} <= {"s1"}

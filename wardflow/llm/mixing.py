@@ -17,8 +17,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wardflow.sources.shared import materialised
+
 #: Hex digits of a hash that make a uniform number; 13 digits are 52 bits, exact in a double.
 DIGITS = 13
+#: So many sources, one short row each, may go to all tasks; with more the rows are joined.
+MAX_SOURCES = 100_000
 ADDED = ["copy", "n_copies", "rate", "shuffle_key"]
 
 
@@ -65,7 +69,9 @@ def source_rates(
         pairs = docs.sparkSession.createDataFrame([(s, float(w)) for s, w in weights.items()], "_s string, w double")
         weighed = sizes.join(pairs, F.col("source").cast("string").eqNullSafe(F.col("_s")), "left")
         weighed = weighed.select("source", "n", F.coalesce("w", F.lit(0.0)).alias("w"))
-    all_w, all_n = weighed.agg(F.sum("w")).scalar(), weighed.agg(F.sum("n")).scalar()
+    # decimals add up the same in any order, doubles do not
+    exact = F.sum(F.col("w").cast("decimal(28,12)")).cast("double")
+    all_w, all_n = weighed.agg(exact).scalar(), weighed.agg(F.sum("n")).scalar()
     rows = F.lit(total) if total is not None else all_n.cast("double")
     rate = F.when(all_w > 0, F.col("w") / all_w * rows / F.col("n")).otherwise(0.0)
     return weighed.select(F.col("source").alias("_source"), rate.alias("rate"))
@@ -86,7 +92,9 @@ def mix(
     shuffle_key and holds a random part of all copies.
     """
     keep = [c for c in docs.columns if c not in ADDED]
-    rates = source_rates(docs, weights, power, total)
+    rates = materialised(source_rates(docs, weights, power, total))
+    if rates.count() <= MAX_SOURCES:
+        rates = F.broadcast(rates)
     drawn = (
         docs.select(*keep)
         .join(rates, F.col("source").eqNullSafe(F.col("_source")))
