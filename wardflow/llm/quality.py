@@ -33,6 +33,7 @@ from wardflow.sources.shared import materialised
 
 NEIGHBOURS = (1, 2)
 SLICE = 1024  # buckets that travel together
+SALTS = 64
 
 
 @dataclass(frozen=True)
@@ -71,7 +72,7 @@ class Model:
 def index_vectors(s: Settings) -> tuple[np.ndarray, np.ndarray]:
     """Two places and two signs per bucket: the sparse random index vectors."""
     draws = mix(np.arange(2 * s.buckets, dtype=np.uint64) + np.uint64(s.seed << 32)).reshape(-1, 2)
-    return (draws % np.uint64(s.size)).astype(np.int64), np.where(draws >> np.uint64(63), 1.0, -1.0)
+    return (draws % np.uint64(s.size)).astype(np.int64), np.where(draws >> np.uint64(63), 1, -1)
 
 
 def _buckets(hashes: WordHashes, texts: list[bytes], s: Settings) -> tuple[np.ndarray, np.ndarray]:
@@ -91,7 +92,7 @@ def word_vectors(docs: DataFrame, s: Settings) -> np.ndarray:
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, (place, sign) = WordHashes(), index_vectors(s)
         table = np.zeros(s.buckets * s.size, np.int64)
-        for batch in rows_of(batches, 2000):
+        for batch in rows_of(batches, 500):
             bucket, n = _buckets(hashes, batch.column(0).to_pylist(), s)
             doc = np.repeat(np.arange(len(n)), n)
             for step in NEIGHBOURS:
@@ -99,9 +100,7 @@ def word_vectors(docs: DataFrame, s: Settings) -> np.ndarray:
                 left, right = bucket[:-step][together], bucket[step:][together]
                 for word, other in ((left, right), (right, left)):
                     for j in range(place.shape[1]):
-                        cell = word * s.size + place[other, j]
-                        # counts of cells that occur, as a table of all costs more than a batch
-                        table += np.bincount(cell, sign[other, j], len(table)).astype(np.int64)
+                        np.add.at(table, word * s.size + place[other, j], sign[other, j])
         slices = table.reshape(-1, SLICE * s.size)
         some = np.flatnonzero(slices.any(1))
         raw = [zlib.compress(slices[i].tobytes(), 1) for i in some]
@@ -113,16 +112,19 @@ def word_vectors(docs: DataFrame, s: Settings) -> np.ndarray:
             for i, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 part = np.frombuffer(zlib.decompress(raw), np.int64)
                 sums[i] = sums[i] + part if i in sums else part
-        raw = [v.tobytes() for v in sums.values()]
+        raw = [zlib.compress(v.tobytes(), 1) for v in sums.values()]
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array(raw, pa.binary())], ["slice", "sums"])
 
     kind = "slice bigint, sums binary"
     slices = -(-s.buckets // SLICE)
     parts = docs.select(text_of().cast("binary").alias("text")).mapInArrow(gather, kind)
-    summed = parts.repartition(slices, "slice").mapInArrow(add, kind)
+    # in two steps: the tasks' tables of one slice first meet in SALTS groups
+    salted = parts.withColumn("salt", F.spark_partition_id() % SALTS).repartition("slice", "salt")
+    some = salted.select("slice", "sums").mapInArrow(add, kind)
+    summed = some.repartition(slices, "slice").mapInArrow(add, kind)
     vectors = np.zeros((slices, SLICE * s.size))
     for row in summed.collect():
-        vectors[row["slice"]] = np.frombuffer(row["sums"], np.int64)
+        vectors[row["slice"]] = np.frombuffer(zlib.decompress(row["sums"]), np.int64)
     vectors = vectors.reshape(-1, s.size)
     length = np.sqrt((vectors**2).sum(1, keepdims=True))
     return (vectors / np.where(length > 0, length, 1)).astype(np.float32)
@@ -159,7 +161,7 @@ def pooled(docs: DataFrame, vectors, s: Settings) -> DataFrame:
 
     def figures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for batch in rows_of(batches, 1000):
+        for batch in rows_of(batches, 500):
             bucket, n = _buckets(hashes, batch.column(1).to_pylist(), s)
             x = pool(bucket, n, vectors.value).astype(np.float32)
             raw = pa.array([row.tobytes() for row in x], pa.binary())
@@ -255,7 +257,7 @@ def keep_good(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFram
 
     def good(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for batch in rows_of(batches, 1000):
+        for batch in rows_of(batches, 500):
             texts = [(t or "").encode() for t in batch.column(text_at).to_pylist()]
             bucket, n = _buckets(hashes, texts, s)
             x = pool(bucket, n, shared.value).astype(np.float32).astype(np.float64)
