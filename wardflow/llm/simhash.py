@@ -119,7 +119,8 @@ def _with_next(docs: DataFrame) -> tuple[DataFrame, list[str]]:
         .withColumn("_to", F.explode(F.when(is_head, F.array(own, ghost)).otherwise(F.array(own))))
         .select("doc_id", "text", "a", "b", F.col("_to.s").alias("_slice"), F.col("_to.g").alias("_ghost"))
     )
-    order = W.partitionBy("_slice").orderBy("_ghost", "a", "b")
+    # doc_id in the order: both uses of the result then ask for the same columns of one exchange
+    order = W.partitionBy("_slice").orderBy("_ghost", "a", "b", "doc_id")
     return (
         placed.withColumn("_next", F.lead("text").over(order)).withColumn("_row", F.row_number().over(order)),
         ["_slice", "_row"],
