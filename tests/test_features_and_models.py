@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from wardflow.functions import labels as L
 from wardflow.functions.text import space_tokens
 from wardflow.operators import classify, encode, features
+from wardflow.registry import models
 
 TEXTS = [
     ("the heart rate was high and the rate rose", 1),
@@ -189,3 +190,24 @@ def test_nested_chain_trains(docs):
     a = classify.score(model, docs, ["doc_id"]).orderBy("doc_id").collect()
     b = classify.score(again, docs, ["doc_id"]).orderBy("doc_id").collect()
     assert [r.score for r in a] == pytest.approx([r.score for r in b])
+
+
+def test_features_are_fitted_on_the_whole_training_split(spark, monkeypatch):
+    monkeypatch.setattr(models, "FIT_ROWS", 20)
+    seen = []
+
+    def make(rows):
+        seen.append(rows.count())
+        return models.plain_tfidf(rows)
+
+    scored = models.scored_by(lambda: classify.logistic(2, 0.01), make)(spark, "/root/testdata/sf0.001")
+    assert seen == [scored.where("split = 'train'").count()] and seen[0] > 20
+
+
+def test_one_id_does_not_fill_the_sample(spark, monkeypatch):
+    rows = [(i, i, c, c % 2, "some words") for i in range(20) for c in range(30)]
+    frame = spark.createDataFrame(rows, "ID int, doc_id int, chunk_no int, Label int, TEXT string")
+    monkeypatch.setattr(models, "chunks", lambda spark, d: frame)
+    monkeypatch.setattr(models, "FIT_ROWS", 30)
+    fit_set = models.parts(spark, "")[-1]
+    assert fit_set.count() == 30 and fit_set.select("ID").distinct().count() > 5

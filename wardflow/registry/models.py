@@ -285,8 +285,10 @@ FEATURES = [
 
 # classifiers, at the sizes of the tuned models ------------------------------------------
 
-#: Labelled chunks that a classifier is fitted on, those with the smallest hash of their id.
+#: Labelled chunks that a classifier is fitted on, those with the smallest hash of their key.
 FIT_ROWS = 2_000
+#: Characters of text that one part of Word2Vec is trained on.
+PART_CHARS = 256_000_000
 
 
 def chunks(spark, d):
@@ -295,12 +297,14 @@ def chunks(spark, d):
 
 
 def parts(spark, d):
-    """All chunks with ``split`` by a hash of the id, and those that a model is fitted on."""
+    """All chunks with ``split`` by a hash of the id, the training split, on all of which features
+    are fitted, and those of its chunks that a classifier is fitted on."""
     share = sampling.hash_share(F.col("ID"))
     split = F.when(share < 0.8, "train").when(share < 0.9, "val").otherwise("test")
     rows = chunks(spark, d).withColumn("split", split)
-    order = [sampling.seeded_hash(F.col("ID"), 1), F.col("doc_id"), F.col("chunk_no")]
-    return rows, shared.materialised(rows.where("split = 'train'").orderBy(*order).limit(FIT_ROWS))
+    train_set = rows.where("split = 'train'")
+    order = [sampling.seeded_hash(F.concat_ws(":", "ID", *KEYS), 1), F.col("ID"), *map(F.col, KEYS)]
+    return rows, train_set, shared.materialised(train_set.orderBy(*order).limit(FIT_ROWS))
 
 
 def notebook_tfidf(rows):
@@ -313,7 +317,9 @@ def plain_tfidf(rows):
 
 
 def word2vec(rows):
-    return features.word2vec_stages().fit(rows)
+    """In as many parts as the text asks for."""
+    chars = rows.agg(F.sum(F.length("TEXT"))).first()[0] or 0
+    return features.word2vec_stages(partitions=1 + chars // PART_CHARS).fit(rows)
 
 
 def scored_by(classifier, make_features=notebook_tfidf):
@@ -321,30 +327,31 @@ def scored_by(classifier, make_features=notebook_tfidf):
 
     @functools.lru_cache(maxsize=1)
     def frame(spark, d):
-        rows, train_set = parts(spark, d)
-        model = classify.train(make_features(train_set), classifier(), train_set)
+        rows, train_set, fit_set = parts(spark, d)
+        model = classify.train(make_features(train_set), classifier(), fit_set)
         return shared.materialised(classify.score(model, rows, [*KEYS, "split"]))
 
     return frame
 
 
 def report_of(classifier, make_features=plain_tfidf):
+    """Every split is reported whole."""
+
     def frame(spark, d):
-        rows, train_set = parts(spark, d)
-        split = {n: rows.where(F.col("split") == n) for n in ("val", "test")}
-        return jobs.train_and_evaluate(
-            make_features(train_set), classifier(), {"train": train_set, **split}, KEYS
-        )[1]
+        rows, train_set, fit_set = parts(spark, d)
+        model = classify.train(make_features(train_set), classifier(), fit_set)
+        split = {n: rows.where(F.col("split") == n) for n in ("train", "val", "test")}
+        return classify.split_metrics({n: classify.score(model, part, KEYS) for n, part in split.items()})
 
     return frame
 
 
 def ml4(spark, d):
     """Scores of the nested chain, and whether the flat chain gives the same."""
-    rows, train_set = parts(spark, d)
+    rows, train_set, fit_set = parts(spark, d)
     fitted, classifier = notebook_tfidf(train_set), classify.logistic(10, 0.01)
-    nested = classify.score(classify.nested(fitted, classifier).fit(train_set), rows, [*KEYS, "split"])
-    flat = classify.score(classify.train(fitted, classifier, train_set), rows, KEYS)
+    nested = classify.score(classify.nested(fitted, classifier).fit(fit_set), rows, [*KEYS, "split"])
+    flat = classify.score(classify.train(fitted, classifier, fit_set), rows, KEYS)
     near = F.abs(F.col("score") - F.col("_flat")) < 1e-9
     return nested.join(flat.select(*KEYS, F.col("score").alias("_flat")), KEYS).withColumn(
         "same", near.cast("int")
@@ -352,25 +359,25 @@ def ml4(spark, d):
 
 
 def ml5(spark, d):
-    rows, train_set = parts(spark, d)
+    rows, train_set, _ = parts(spark, d)
     vectors = word2vec(train_set).transform(rows)
     return vectors.select(*KEYS, F.posexplode(vector_to_array("features")).alias("dim", "value"))
 
 
 def ml9(spark, d):
-    rows, train_set = parts(spark, d)
-    model = classify.train(notebook_tfidf(train_set), classify.boosted_trees(), train_set)
+    rows, train_set, fit_set = parts(spark, d)
+    model = classify.train(notebook_tfidf(train_set), classify.boosted_trees(), fit_set)
     leaves = F.array_join(vector_to_array("leafId").cast("array<int>"), ",")
     return model.transform(rows).select(*KEYS, "split", leaves.alias("leaves"), "prediction")
 
 
 def ml10(spark, d):
     """The named models on the same features, judged on the test split."""
-    rows, train_set = parts(spark, d)
+    rows, train_set, fit_set = parts(spark, d)
     fitted = plain_tfidf(train_set)
     out = []
     for name in ("lr", "rf", "gb"):
-        model = classify.train(fitted, classify.choose_model(name), train_set)
+        model = classify.train(fitted, classify.choose_model(name), fit_set)
         scored = classify.score(model, rows.where("split = 'test'"), KEYS)
         out.append(evaluate.binary_metrics(scored).withColumn("model", F.lit(name)))
     return functools.reduce(lambda a, b: a.unionByName(b), out)
@@ -379,8 +386,8 @@ def ml10(spark, d):
 @functools.lru_cache(maxsize=1)
 def _search(spark, d):
     """The tuned grid, 42 points on 5 folds, over shared features; one search for its queries."""
-    _, train_set = parts(spark, d)
-    rows = notebook_tfidf(train_set).transform(train_set).select("Label", "features")
+    _, train_set, fit_set = parts(spark, d)
+    rows = notebook_tfidf(train_set).transform(fit_set).select("Label", "features")
     classifier = classify.logistic()
     grid = classify.regression_grid(classifier)
     return classify.grid_metrics(spark, classify.cross_validate(classifier, grid, rows))
@@ -389,10 +396,10 @@ def _search(spark, d):
 @functools.lru_cache(maxsize=1)
 def ml13(spark, d):
     """The chain refitted on each fold over the grid; the best chain scores all splits."""
-    rows, train_set = parts(spark, d)
+    rows, train_set, fit_set = parts(spark, d)
     chain = classify.nested(notebook_tfidf(train_set), classify.logistic())
     grid = classify.regression_grid(chain.getStages()[-1])
-    fitted = classify.cross_validate(chain, grid, train_set)
+    fitted = classify.cross_validate(chain, grid, fit_set)
     return shared.materialised(classify.score(fitted.bestModel, rows, [*KEYS, "split"]))
 
 
