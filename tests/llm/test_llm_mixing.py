@@ -1,6 +1,7 @@
 import math
 from collections import Counter
 
+import pytest
 from edge_cases import clashing, documents, rows_of
 from pyspark.sql import functions as F
 
@@ -53,3 +54,13 @@ def test_order_is_a_shuffle(spark):
     for p in {r.p for r in keys}:
         own = [r for r in keys if r.p == p]
         assert [r.shuffle_key for r in own] == sorted(r.shuffle_key for r in own)
+
+
+@pytest.mark.parametrize("rate", [700, 750, 5000])
+def test_large_rates(spark, rate):
+    rows = [(i, "t", "en", "s", 1) for i in range(60)]
+    drawn = mixing.mix(documents(spark, rows), total=60.0 * rate).groupBy("doc_id").agg(F.max("n_copies").alias("k"))
+    k = [r.k for r in drawn.collect()]
+    mean = sum(k) / 60
+    assert len(k) == 60 and abs(mean - rate) < 5 * math.sqrt(rate / 60)
+    assert 0.4 * rate < sum((x - mean) ** 2 for x in k) / 59 < 2 * rate

@@ -3,7 +3,8 @@
 A source with n documents and target share w of ``total`` expected rows has the mean
 repetition rate w * total / n. Each document draws a uniform number from a hash of its id
 and the seed, the inverse Poisson distribution turns it into a number of copies, and the
-document is exploded by it. Rates need one count per source, nothing else is gathered;
+document is exploded by it. A rate above MOST_RATE is drawn as a sum of equal smaller ones,
+each with a number of its own. Rates need one count per source, nothing else is gathered;
 each draw depends on its row alone, so that a lost task draws the same again. The copies
 are then dealt to partitions and ordered inside them by a hash of id, copy and seed.
 
@@ -23,6 +24,8 @@ from wardflow.sources.shared import materialised
 DIGITS = 13
 #: So many sources, one short row each, may go to all tasks; with more the rows are joined.
 MAX_SOURCES = 100_000
+#: The largest rate of one draw; exp(-rate) is a normal double up to 708.
+MOST_RATE = 700.0
 ADDED = ["copy", "n_copies", "rate", "shuffle_key"]
 
 
@@ -36,7 +39,7 @@ def uniform(seed: int, *parts: Column) -> Column:
 
 
 def poisson_count(u: Column, rate: Column) -> Column:
-    """The smallest k whose cumulative Poisson probability exceeds u.
+    """The smallest k whose cumulative Poisson probability exceeds u, for rates up to MOST_RATE.
 
     Steps of the sum over k run to mean + 12 deviations + 30; beyond lies less than 2^-52.
     """
@@ -58,6 +61,17 @@ def poisson_count(u: Column, rate: Column) -> Column:
     return F.when(rate > 0, drawn).otherwise(0)
 
 
+def copies_drawn(seed: int, doc_id: Column, rate: Column) -> Column:
+    """A Poisson number for each document; the sum of Poisson numbers is one of their summed rates."""
+    n = F.ceil(rate / MOST_RATE).cast("int")
+
+    def add(total: Column, part: Column) -> Column:
+        return total + poisson_count(uniform(seed, doc_id, part, F.lit("part")), rate / n)
+
+    split = F.aggregate(F.sequence(F.lit(1), n), F.lit(0), add)
+    return F.when(rate > MOST_RATE, split).otherwise(poisson_count(uniform(seed, doc_id), rate))
+
+
 def source_rates(
     docs: DataFrame, weights: dict[str, float] | None, power: float, total: float | None
 ) -> DataFrame:
@@ -98,7 +112,7 @@ def mix(
     drawn = (
         docs.select(*keep)
         .join(rates, F.col("source").eqNullSafe(F.col("_source")))
-        .withColumn("n_copies", poisson_count(uniform(seed, F.col("doc_id")), F.col("rate")))
+        .withColumn("n_copies", copies_drawn(seed, F.col("doc_id"), F.col("rate")))
         .where("n_copies > 0")
     )
     copies = drawn.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("n_copies") - 1)))
