@@ -4,6 +4,7 @@ import re
 
 import numpy as np
 from edge_cases import clashing, documents
+from pyspark.sql import functions as F
 
 from wardflow.llm import secrets
 from wardflow.llm.queries import op9_secrets
@@ -76,3 +77,36 @@ def test_battery_finds_random_strings_and_leaves_words(spark):
     for i in np.flatnonzero(hit[: len(random)])[:20]:
         start, _, end = got[i][0]
         assert f"see {random[i]} here"[start:end].strip("=") in random[i]
+
+
+def found_random(spark, texts):
+    docs = documents(spark, [(i, t, "en", "s", 1) for i, t in enumerate(texts)])
+    got = spans(secrets.find_secrets(docs), "spans")
+    return [[text[a:b] for a, k, b in got[i] if k == 3] for i, text in enumerate(texts)]
+
+
+def test_value_after_a_name_is_a_run(spark):
+    rng = np.random.default_rng(6)
+    keys = ["Zx81kQpL0vTn3RbYw9Ae", "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"]
+    keys += [base64.b64encode(rng.bytes(31)).decode() for _ in range(40)]
+    names = ["CLIENT_KEY", "AWS_SECRET_ACCESS_KEY", "A_LONG_NAME_OF_A_SETTING", "k"]
+    got = found_random(spark, [f"{names[i % 4]}={k}" for i, k in enumerate(keys)])
+    hit = [k in own or k.strip("=") in own for k, own in zip(keys, got)]
+    assert hit[:2] == [True, True] and np.mean(hit) > 0.8
+
+
+def test_parts_of_a_run_that_no_encoding_fits(spark):
+    rng = np.random.default_rng(7)
+    letters = list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
+    keys = ["".join(rng.choice(letters, 44)) for _ in range(60)]
+    signed = [f"{k[:9]}/{k[9:30]}+{k[30:]}" for k in keys]
+    got = found_random(spark, [f"x_y-{k}-z" for k in signed])
+    assert np.mean([any(k in x for x in own) for k, own in zip(signed, got)]) > 0.8
+    run = secrets._parts(F.struct(F.lit(5).alias("start"), F.lit(3).alias("kind"), F.lit(99).alias("end"), "value"))
+    shared = "a" * 15
+    values = [f"b/{shared}/{shared}-cc", f"{shared}-{shared}_d/{shared}+{shared}{shared}", "a/b_c", "a" * 30 + "="]
+    rows = spark.createDataFrame([(v,) for v in values], "value string").select("value", run.alias("parts")).collect()
+    cut = {r.value: [(p.start, p.value) for p in r.parts] for r in rows}
+    assert cut[values[0]] == [(5, f"b/{shared}/{shared}")]
+    assert cut[values[1]] == [(5, f"{shared}-{shared}_"), (37, f"d/{shared}+{shared}{shared}")]
+    assert cut[values[2]] == [] and cut[values[3]] == [(5, values[3])]

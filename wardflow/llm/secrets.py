@@ -1,7 +1,9 @@
 """Secrets in text: fixed formats, and a randomness test battery, in DataFrame operations only.
 
 Fixed formats are assignments to names of secrets, access keys and long hex runs. The
-battery looks at all other long runs of token characters. A run's encoding is inferred
+battery looks at all other long runs of token characters, which hold '=' at their end only,
+so that the value in NAME=VALUE is a run of its own. A run that mixes the signs of base64
+and base64url is cut into its longest parts that do not. A run's encoding is inferred
 from its characters, which become numbers 0 to m - 1. Three tests ask whether the numbers
 could be random: chi-squared uniformity over the alphabet, runs above and below its middle,
 and serial correlation of neighbours. The smallest of the three p-values, times three, is
@@ -34,7 +36,9 @@ ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?
 #: The run is as long as it can be, so asking for the least length finds the same spans.
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
-TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
+TOKEN = r"[A-Za-z0-9+/_-]{20,}(?:=+(?![A-Za-z0-9+/_=-]))?"
+#: Within a run: from the first to the last of neighbouring signs of one encoding.
+SIGNS = r"[+/](?:[A-Za-z0-9+/]*[+/])?|[_-](?:[A-Za-z0-9_-]*[_-])?"
 KINDS = ["assign", "access", "hex", "random"]
 
 LOW, UP, DIGIT = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
@@ -165,11 +169,52 @@ def _weighed(span: Column, bare: Column, number: Column) -> Column:
     )
 
 
+def _parts(run: Column) -> Column:
+    """The run, or if no encoding fits it the longest parts that one fits.
+
+    Neighbouring parts could both hold the letters and digits between them; the longer
+    one does.
+    """
+
+    def cut(words: Column, signs: Column) -> Column:
+        sizes = F.transform(
+            signs, lambda x, i: F.length(F.get(words, i)) + F.length(x) + F.length(F.get(words, i + 1))
+        )
+        return _let(sizes, lambda n: F.transform(signs, lambda x, i: joined(words, n, x, i)))
+
+    def joined(words: Column, n: Column, sign: Column, i: Column) -> Column:
+        before = (i == 0) | (F.get(n, i) > F.get(n, i - 1))
+        after = (i == F.size(n) - 1) | (F.get(n, i) >= F.get(n, i + 1))
+        none = F.lit("")
+        return F.concat(
+            F.when(before, F.get(words, i)).otherwise(none), sign, F.when(after, F.get(words, i + 1)).otherwise(none)
+        )
+
+    def placed(parts: Column) -> Column:
+        none = F.array().cast("array<struct<start:int,kind:int,end:int,value:string>>")
+        begin = F.struct(run["start"].alias("at"), none.alias("found"))
+
+        def step(state: Column, part: Column) -> Column:
+            end = state["at"] + F.length(part)
+            span = F.struct(
+                state["at"].alias("start"), run["kind"].alias("kind"), end.alias("end"), part.alias("value")
+            )
+            more = F.when(F.length(part) >= 20, F.concat(state["found"], F.array(span))).otherwise(state["found"])
+            return F.struct(end.alias("at"), more.alias("found"))
+
+        return F.aggregate(parts, begin, step, lambda state: state["found"])
+
+    value = run["value"]
+    words, signs = F.split(value, SIGNS, -1), F.regexp_extract_all(value, F.lit(SIGNS), F.lit(0))
+    parts = _let(words, lambda w: _let(signs, lambda s: placed(cut(w, s))))
+    return F.when(value.rlike("[+/]") & value.rlike("[_-]"), parts).otherwise(F.array(run))
+
+
 def _spans(docs: DataFrame) -> DataFrame:
     """doc_id, the base spans, and the tested runs beside them; written once."""
     base = F.concat(_found(ASSIGN, 0, 2, 6), _found(ACCESS, 1), _found(HEX, 2))
     found = docs.select("doc_id", text_of().alias("text")).select(
-        "doc_id", base.alias("base"), _found(TOKEN, 3).alias("runs")
+        "doc_id", base.alias("base"), F.flatten(F.transform(_found(TOKEN, 3), _parts)).alias("runs")
     )
     apart = F.filter(
         "runs", lambda r: ~F.exists("base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"]))
