@@ -110,3 +110,14 @@ def test_parts_of_a_run_that_no_encoding_fits(spark):
     assert cut[values[0]] == [(5, f"b/{shared}/{shared}")]
     assert cut[values[1]] == [(5, f"{shared}-{shared}_"), (37, f"d/{shared}+{shared}{shared}")]
     assert cut[values[2]] == [] and cut[values[3]] == [(5, values[3])]
+
+
+def test_short_hex(spark):
+    rng = np.random.default_rng(8)
+    upper = ["".join(rng.choice(list("0123456789ABCDEF"), (20, 32, 40, 64)[i % 4])) for i in range(200)]
+    lower = ["".join(rng.choice(list("0123456789abcdef"), 20 + i % 4)) for i in range(80)]
+    plain = ["00000000000000000001F", "1234567890123456789012345678901B", "DEADBEEF1" * 4]
+    got = found_random(spark, [f"see {t} here" for t in upper + lower + plain])
+    hit = [bool(own) for own in got]
+    assert np.mean(hit[:200]) > 0.9 and np.mean(hit[200:280]) > 0.9
+    assert not any(hit[280:])

@@ -12,6 +12,9 @@ step-up rule picks those that are not random, with a share of false picks below
 What is left is reported if it is long enough for its alphabet: below ``least_length`` even
 plain words would pass the chi-squared test.
 
+Upper-case or lower-case hex is its own class and never read in a wider alphabet. Words
+rarely fit it, but numbers do, so a fourth test asks whether its letters are 6 in 16.
+
 Step-up needs only how many p-values lie below each other: they are counted in bins of a
 fixed number per class, and the counts alone come to the driver.
 
@@ -52,6 +55,8 @@ ENCODINGS = [
     ("base64", "[A-Za-z0-9+/]+=*", UP + LOW + DIGIT + "+/"),
     ("base64url", "[A-Za-z0-9_-]+=*", UP + LOW + DIGIT + "-_"),
 ]
+#: Words rarely fit hex, so this length suffices there.
+LEAST_HEX = 20
 #: Chance that two letters of plain text are equal.
 COINCIDENCE = 0.066
 #: Bins of -log10 p per class, and their width.
@@ -113,7 +118,7 @@ def _sum(values: Column, of) -> Column:
 
 
 def _p_value(codes: Column, m: Column) -> Column:
-    """Three times the smallest p-value of the battery."""
+    """The smallest p-value of the battery times the number of its tests, four for hex."""
     n, middle = F.size(codes).cast("double"), F.floor(m / 2)
     counts = F.transform(F.sequence(F.lit(0), m - 1), lambda k: F.size(F.filter(codes, lambda c: c == k)))
     chi = _sum(counts, lambda c: c * c.cast("double")) * m / n - n
@@ -136,7 +141,10 @@ def _p_value(codes: Column, m: Column) -> Column:
 
     z_serial = _let(_sum(codes, lambda c: c.cast("double")) / n, serial)
     p = F.least(_tail(z_uniform), 2 * _tail(F.abs(z_runs)), 2 * _tail(F.abs(z_serial)))
-    return F.least(F.lit(1.0), 3 * p)
+    letters = F.size(F.filter(codes, lambda c: c >= 10)).cast("double")
+    z_letters = (letters - n * 6 / 16) / F.sqrt(n * 6 / 16 * 10 / 16)
+    hexed = F.when(m == 16, 4 * F.least(p, 2 * _tail(F.abs(z_letters)))).otherwise(3 * p)
+    return F.least(F.lit(1.0), hexed)
 
 
 def _tested(span: Column) -> Column:
@@ -144,9 +152,10 @@ def _tested(span: Column) -> Column:
     bare = F.regexp_replace(span["value"], "=+$", "")
     mixed = bare.rlike("[0-9]") & bare.rlike("[A-Za-z]")
     number = F.lit(-1)
-    for i, (_, pattern, alphabet) in reversed(list(enumerate(ENCODINGS))):
-        fits = span["value"].rlike(f"^({pattern})$") & (F.length(bare) >= least_length(len(alphabet)))
-        number = F.when(fits, i).otherwise(number)
+    for i, (name, pattern, alphabet) in reversed(list(enumerate(ENCODINGS))):
+        least = LEAST_HEX if name == "hex" else least_length(len(alphabet))
+        own = F.when(F.length(bare) >= least, i).otherwise(-1)
+        number = F.when(span["value"].rlike(f"^({pattern})$"), own).otherwise(number)
     number = F.when(mixed, number).otherwise(-1)
     return _let(number, lambda known: _weighed(span, bare, known))
 
