@@ -80,3 +80,9 @@ def test_window_count_rises():
     window = packing.windows_of(np.array([60, 60, 60]), 100)  # two windows could not hold them
     assert sorted(window) == [0, 1, 2]
     assert len(packing.windows_of(np.empty(0, np.int64), 10)) == 0
+
+
+@pytest.mark.parametrize("text", ["foo <|endoftext|> bar", "foo <|endoftext|>", "a b<|endoftext|>. c", "x <|endoftext|><|endoftext|>"])
+def test_added_tokens_keep_the_ids(text):
+    got = packing.Tokens(tokenizer_path()).of([text, "foo bar"])
+    assert [list(np.frombuffer(x, "<u4")) for x in got] == [ids[:-1] for ids in whole_ids([text, "foo bar"])]

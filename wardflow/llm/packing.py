@@ -49,7 +49,7 @@ class Tokens:
     that is white space too, nor a letter with a mark after it. So a text is cut before such
     blanks, and a new word before the marks at its end. Each part is encoded once, many of
     them as one text, which is cut again where a token begins with a blank. Texts with
-    other blanks are encoded as a whole.
+    other blanks, or with an added token such as <|endoftext|>, are encoded as a whole.
     """
 
     def __init__(self, path: str) -> None:
@@ -59,6 +59,7 @@ class Tokens:
         vocabulary = self.model.get_vocab()
         self.begins = np.zeros(max(vocabulary.values()) + 1, bool)
         self.begins[[i for token, i in vocabulary.items() if token.startswith(BLANK)]] = True
+        self.added = tuple(t.content for t in self.model.get_added_tokens_decoder().values())
         self.kept: dict[str, bytes] = {}  # ids of a blank and the word
         self.marks: dict[str, bytes] = {}  # ids of marks alone
 
@@ -94,6 +95,7 @@ class Tokens:
         heads, tails = [], []
         for text in texts:
             odd = any(x in text for x in ODD_ASCII) if text.isascii() else ODD_BLANK.search(text)
+            odd = odd or any(x in text for x in self.added)
             head, *tail = [text] if odd else text.split(" ")
             heads.append(head)
             tails.append(tail)
