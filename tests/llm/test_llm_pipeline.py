@@ -10,7 +10,7 @@ FOLDER = "/root/testdata/sf0.01"
 
 def test_names():
     names = list(queries.ALL)
-    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 14))
     assert set(names) | {"pipeline"} <= set(entry_points.queries())
     assert set(queries.ORACLES) <= set(entry_points.oracle_sql())
 
@@ -20,7 +20,7 @@ def test_sql_form(spark, name):
     import duckdb
 
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "pages", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{FOLDER}/{t}.parquet'")
     said = con.execute(queries.ORACLES[name])
     columns = [c[0] for c in said.description]

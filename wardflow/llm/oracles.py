@@ -70,7 +70,7 @@ FROM placed
 
 NEAR_DEDUP = f"""
 WITH RECURSIVE words AS (
-  SELECT doc_id, regexp_extract_all({LOWER.format("coalesce(text, '')")}, '[^\\x20\\x09-\\x0D]+') AS w
+  SELECT doc_id, regexp_extract_all({LOWER.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS w
   FROM documents
 ), shingles AS (
   SELECT DISTINCT doc_id, array_to_string(w[i : i + 2], ' ') AS s
@@ -118,10 +118,127 @@ SELECT doc_id, source, lang, text, n_chars, CAST(copy AS INTEGER) AS copy, CAST(
 FROM counted, unnest(range(0, times)) AS t(copy)
 """
 
+#: The rules and the block list are those of ``urls``.
+URL_FILTERS = r"""
+WITH cut AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), parsed AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM cut
+), rules(verdict, host, path) AS (
+  VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')
+), fitting AS (
+  SELECT page_id, rules.host || rules.path AS rule, verdict,
+    row_number() OVER (PARTITION BY page_id ORDER BY length(rules.host || rules.path) DESC) AS place
+  FROM parsed JOIN rules
+    ON (parsed.host = rules.host OR ends_with(parsed.host, '.' || rules.host)) AND starts_with(parsed.path, rules.path)
+)
+SELECT page_id, host, path, rule, coalesce(verdict,
+  CASE WHEN regexp_matches(host, '(^|[.-])(ads|bets|casino|pills|spam)([.-]|$)') THEN 'block' ELSE 'allow' END) AS verdict
+FROM parsed LEFT JOIN (SELECT * FROM fitting WHERE place = 1) AS best USING (page_id)
+"""
+
+FILTER_AUDIT = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), firsts AS (
+  SELECT t, min(doc_id) AS first_id FROM d GROUP BY t
+), marked AS (
+  SELECT d.doc_id, part,
+    CASE WHEN len(w) < 200 THEN 'A' ELSE '' END
+    || CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END
+    || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t) THEN 'C' ELSE '' END
+    || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+    || CASE WHEN d.doc_id > first_id THEN 'E' ELSE '' END AS failed
+  FROM d JOIN firsts USING (t)
+), known AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS bad
+  FROM labels GROUP BY doc_id
+), masks AS (
+  SELECT part, failed, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(bad), 0) AS bad
+  FROM marked LEFT JOIN known USING (doc_id) GROUP BY part, failed
+), letters(x) AS (
+  VALUES ('A'), ('B'), ('C'), ('D'), ('E')
+), orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+  FROM letters AS a JOIN letters AS b ON b.x <> a.x JOIN letters AS c ON c.x NOT IN (a.x, b.x)
+  JOIN letters AS d ON d.x NOT IN (a.x, b.x, c.x) JOIN letters AS e ON e.x NOT IN (a.x, b.x, c.x, d.x)
+), steps AS (
+  SELECT filter_order, step, substr(filter_order, step, 1) AS f, substr(filter_order, 1, step - 1) AS earlier
+  FROM orders, (SELECT unnest(range(1, 6)) AS step)
+), seen AS (
+  SELECT part, filter_order, step, f, n, good, bad, contains(failed, f) AS fails, failed = f AS only_f,
+    length(failed) > length(translate(failed, earlier, '')) AS gone
+  FROM masks CROSS JOIN steps
+), summed AS (
+  SELECT part, filter_order, step, f,
+    sum(CASE WHEN NOT gone AND NOT fails THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN NOT gone AND fails THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN gone AND fails THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN only_f THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN NOT gone AND fails THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN NOT gone AND fails THEN bad ELSE 0 END) AS toxic_lost
+  FROM seen GROUP BY part, filter_order, step, f
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+  CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM summed
+"""
+
+COLLOCATIONS = rf"""
+WITH pieces AS (
+  SELECT doc_id, coalesce(lang, 'und') AS lang,
+    unnest(regexp_split_to_array({LOWER.format("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), parts AS (
+  SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces)
+), runs AS (
+  SELECT lang, w[i] AS one, CASE WHEN i + 1 <= len(w) THEN w[i] || ' ' || w[i + 1] END AS two,
+    CASE WHEN i + 2 <= len(w) THEN w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] END AS three
+  FROM parts
+), f AS (
+  SELECT lang, one AS phrase, 1 AS k, count(*) AS a FROM runs GROUP BY ALL
+  UNION ALL SELECT lang, two, 2, count(*) FROM runs WHERE two IS NOT NULL GROUP BY ALL
+  UNION ALL SELECT lang, three, 3, count(*) FROM runs WHERE three IS NOT NULL GROUP BY ALL
+), sizes AS (
+  SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang
+), candidates AS (
+  SELECT *, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND a >= 10
+), parted AS (
+  SELECT lang, phrase, k, a, cut, array_to_string(w[1:cut], ' ') AS head, array_to_string(w[cut + 1:k], ' ') AS tail
+  FROM candidates, (SELECT unnest([1, 2]) AS cut) WHERE cut < k
+), scored AS (
+  SELECT parted.*, x.a AS l, y.a AS r,
+    CAST(1000000 * CAST(parted.a AS HUGEINT) * parted.a // (CAST(x.a AS HUGEINT) * y.a) AS BIGINT) AS score
+  FROM parted JOIN f AS x ON x.lang = parted.lang AND x.phrase = head JOIN f AS y ON y.lang = parted.lang AND y.phrase = tail
+), lowest AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS place FROM scored
+), inner_pairs AS (
+  SELECT lang, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS phrase, a AS longer FROM candidates WHERE k = 3
+), covered AS (
+  SELECT lang, phrase, max(longer) AS longer FROM inner_pairs GROUP BY lang, phrase
+), left_over AS (
+  SELECT lowest.* FROM lowest LEFT JOIN covered ON covered.lang = lowest.lang AND covered.phrase = lowest.phrase
+  WHERE place = 1 AND (k = 3 OR longer IS NULL OR 100 * longer < 50 * a)
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM left_over
+)
+SELECT ranked.lang, CAST(rank AS BIGINT) AS rank, phrase, a, l, r, n, score
+FROM ranked JOIN sizes ON sizes.lang = ranked.lang WHERE rank <= 2000
+"""
+
 ALL = {
     "op1_top_k": TOP_K,
     "op3_line_dedup": LINE_DEDUP,
     "op4_sharding": SHARDING,
     "op6_near_dedup": NEAR_DEDUP,
     "op8_mixing": MIXING,
+    "op11_filter_audit": FILTER_AUDIT,
+    "op12_url_filters": URL_FILTERS,
+    "op13_collocations": COLLOCATIONS,
 }

@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm import lines, minhash, mixing, oracles, packing, quality, secrets, sharding, simhash, suffix_tree, topk
+from wardflow.llm import (
+    audit,
+    collocations,
+    lines,
+    minhash,
+    mixing,
+    oracles,
+    packing,
+    quality,
+    secrets,
+    sharding,
+    simhash,
+    suffix_tree,
+    topk,
+    urls,
+)
 from wardflow.llm.common import fold, table, text_of
 
 THRESHOLD = 0.3
@@ -75,6 +90,20 @@ def op10_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_tree.fit_and_score(table(spark, folder, "documents").select("doc_id", "text"))
 
 
+def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    return audit.audit(docs, table(spark, folder, "labels"))
+
+
+def op12_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    return urls.judge(pages, urls.spam_hosts(pages)).select("page_id", *urls.ADDED)
+
+
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents").select("lang", "text"))
+
+
 ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_top_k": op1_top_k,
     "op2_quality": op2_quality,
@@ -86,6 +115,9 @@ ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_secrets": op9_secrets,
     "op10_lm_scores": op10_lm_scores,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_url_filters": op12_url_filters,
+    "op13_collocations": op13_collocations,
 }
 
 ORACLES: dict[str, str] = oracles.ALL
