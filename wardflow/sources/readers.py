@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardflow.operators.ordering import running_sums
+from wardflow.sources.split_csv import split_csv_table
 
 
 def parquet_table(spark: SparkSession, path: str) -> DataFrame:
@@ -20,7 +21,11 @@ def sql_over(spark: SparkSession, query: str, **tables: DataFrame) -> DataFrame:
     return spark.sql(query, **tables)
 
 
-def csv_table(
+#: CSV with a header, doubled quotes and line breaks inside fields, by byte ranges of a file.
+csv_table = split_csv_table
+
+
+def whole_csv_table(
     spark: SparkSession,
     path: str,
     schema: str | None = None,
@@ -28,7 +33,7 @@ def csv_table(
     quote: str = '"',
     infer: bool = True,
 ) -> DataFrame:
-    """CSV with a header, doubled quotes and line breaks inside fields.
+    """The same with one task per file, for files with stray quotes inside unquoted fields.
 
     Without ``schema`` the types are inferred, at the price of a second pass over the
     files; with ``infer=False`` all columns are strings.

@@ -24,8 +24,8 @@ def write_labelled_notes(notes: DataFrame, folder: str, n_days: int) -> str:
 def write_csv(df: DataFrame, path: str, sep: str = ",", partition: str | None = None) -> str:
     """CSV with header and doubled quotes, readable by ``csv_table`` and by pandas.
 
-    Fields may hold line breaks, so a file is read by one task; the rows per file are
-    bounded for that reason.
+    Fields may hold line breaks. ``csv_table`` reads a file by byte ranges all the same; the
+    rows per file are bounded for other readers.
     """
     writer = (
         df.write.mode("overwrite")
