@@ -77,3 +77,19 @@ def test_all_documents(spark):
     largest = max(r.size for r in rows)
     assert len(rows) == len(texts) and sizes.max() - sizes.min() <= 2 * largest
     gapless(rows)
+
+
+@pytest.mark.parametrize("tolerance", [0, 0.1])
+def test_ten_thousand_ranges(spark, tolerance):
+    """Ends may fall into any range at once; the expression stays flat."""
+    n, parts = 60_000, 10_000
+    keys = spark.range(n).selectExpr("cast(xxhash64(id div 3) as long) a", "id b", "1 + id % 5 w")
+    cuts, total = sharding.splitters(keys, parts, tolerance)
+    rows = sorted(tuple(r) for r in keys.collect())
+    below = np.cumsum([0, *[r[2] for r in rows]])
+    place = {r[:2]: i for i, r in enumerate(rows)} | {None: n}
+    assert total == below[-1]
+    for j, cut in enumerate(cuts, 1):
+        first = np.searchsorted(below, -(-j * total // parts))  # the first key with so much below it
+        off = below[place[cut]] - below[first]
+        assert off == 0 if tolerance == 0 else abs(off) * parts <= total + 5 * parts

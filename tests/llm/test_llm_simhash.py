@@ -80,3 +80,14 @@ def test_slices_use_the_splitters(spark):
     keys = spark.createDataFrame([(i, 0, 1) for i in range(100)], "a long, b long, w long")
     cuts, total = sharding.splitters(keys, 4)
     assert cuts == [(25, 0), (50, 0), (75, 0)] and total == 100
+
+
+def test_two_thousand_slices(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", F.lit("a few words").alias("text"))
+    monkeypatch.setattr(simhash, "SLICE_BYTES", 370)
+    ordered, place = simhash._with_next(docs)
+    rows = ordered.where("not _ghost").select("doc_id", *place, "_next").collect()
+    assert len(rows) == docs.count() and all(r["_next"] is not None for r in rows)
+    assert len({r["_slice"] for r in rows}) > 1900
+    order = [r["doc_id"] for r in sorted(rows, key=lambda r: (r["_slice"], r["_row"]))]
+    assert order == sorted(order)

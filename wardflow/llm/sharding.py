@@ -15,6 +15,7 @@ rows than shards, some shards are empty. Extra columns are kept by ``shard``.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -27,6 +28,8 @@ from wardflow.sources.shared import materialised
 LEAST = -(1 << 63)
 #: Boundaries per range: in the first round, and later.
 FIRST, LATER = 4096, 64
+#: Boundaries of all ranges together after the first round, unless there are more ranges.
+SUMS = 1 << 19
 #: Rows of a shard that are numbered together.
 CELL_ROWS = 1_000_000
 
@@ -61,32 +64,35 @@ def at_or_below(a: Column, b: Column, keys: list[Key]) -> Column:
     return F.aggregate(steps, F.lit(0), step)
 
 
-def _bin(value: Column, low: int, high: int, bins: int) -> Column:
-    """Never falls as the value rises."""
-    span = high - low + 1
-    if span < 1 << 62:
-        offset = (value - F.lit(low)).cast("double")
-    else:  # the difference may not fit into a long
-        offset = value.cast("double") - F.lit(float(low))
-    return F.floor(offset / F.lit(float(max(1, -(-span // bins)))))
-
-
 def _histogram(keys: DataFrame, ranges: list[Range], bins: int) -> dict[int, list]:
-    """Per range its bins in order: weight, smallest and largest key."""
+    """Per range its bins in order: weight, smallest and largest key.
+
+    What tells ranges apart lies in arrays, so the expression is as deep for one range as for
+    many thousands.
+    """
     a, b = F.col("a"), F.col("b")
+    by_a = [r.low[0] < r.high[0] for r in ranges]  # else all have one a, and b tells them apart
+    lows = [r.low[0] if x else r.low[1] for r, x in zip(ranges, by_a)]
+    spans = [(r.high[0] if x else r.high[1]) - low + 1 for r, x, low in zip(ranges, by_a, lows)]
+
+    def of_range(values: list[int]) -> Column:
+        return F.get(longs(values), F.col("_range"))
+
+    high_a, high_b = of_range([r.high[0] for r in ranges]), of_range([r.high[1] for r in ranges])
+    value = F.when(of_range([int(x) for x in by_a]) == 1, a).otherwise(b)
+    low = of_range(lows)
+    # never falls as the value rises; the difference of a wide range may not fit into a long
+    wide = of_range([int(span >= 1 << 62) for span in spans]) == 1
+    offset = F.when(wide, value.cast("double") - low.cast("double")).otherwise((value - low).cast("double"))
+    number = F.floor(offset / of_range([max(1, -(-span // bins)) for span in spans]).cast("double"))
+    within = (a < high_a) | ((a == high_a) & (b <= high_b))
     inside = at_or_below(a, b, [r.low for r in ranges]) - 1
-    number: Column = F.lit(None).cast("bigint")
-    for i, r in reversed(list(enumerate(ranges))):
-        column, side = (a, 0) if r.low[0] < r.high[0] else (b, 1)
-        within = (a < r.high[0]) | ((a == r.high[0]) & (b <= r.high[1]))
-        cell = F.when(within, _bin(column, r.low[side], r.high[side], bins))
-        number = cell if len(ranges) == 1 else F.when(F.col("_range") == i, cell).otherwise(number)
     key = F.struct("a", "b")
     rows = (
         keys.withColumn("_range", inside)
         .where("_range >= 0")
+        .where(within)
         .withColumn("_bin", number)
-        .where("_bin is not null")
         .groupBy("_range", "_bin")
         .agg(F.sum("w").alias("w"), F.min(key).alias("low"), F.max(key).alias("high"))
         .collect()
@@ -102,7 +108,7 @@ def splitters(keys: DataFrame, parts: int, tolerance: float = 0.0) -> tuple[list
 
     Splitter j is the smallest key with at least j / parts of the weight below it; None if
     there is none. It is off by less than ``tolerance`` of a part. At most
-    parts * LATER + FIRST sums come to the driver in a round.
+    max(SUMS, 2 * parts) sums come to the driver in a round.
     """
     key = F.struct("a", "b")
     low, high, total = keys.agg(F.min(key), F.max(key), F.sum("w")).collect()[0]
@@ -120,10 +126,10 @@ def splitters(keys: DataFrame, parts: int, tolerance: float = 0.0) -> tuple[list
                 marks.append((below, w, first, last))
                 below += w
             held: dict[int, list[int]] = {}
+            starts = [mark[0] * parts for mark in marks]
             for j in r.targets:
                 # the last bin that starts below the target holds the splitter, or comes before it
-                m = max(n for n, mark in enumerate(marks) if mark[0] * parts < j * total)
-                held.setdefault(m, []).append(j)
+                held.setdefault(bisect_left(starts, j * total) - 1, []).append(j)
             for m, targets in held.items():
                 start, w, first, last = marks[m]
                 after = marks[m + 1][2] if m + 1 < len(marks) else r.after
@@ -136,7 +142,7 @@ def splitters(keys: DataFrame, parts: int, tolerance: float = 0.0) -> tuple[list
                         cuts[j - 1] = after
                     if inside:
                         open_ranges.append(Range(first, last, start, after, tuple(inside)))
-        ranges, bins = open_ranges, LATER
+        ranges, bins = open_ranges, max(2, min(LATER, SUMS // max(1, len(open_ranges))))
     return cuts, total
 
 

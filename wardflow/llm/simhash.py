@@ -32,8 +32,9 @@ from wardflow.sources.shared import materialised
 
 BITS = 64
 BLANKS = " \t\n\x0b\x0c\r"
-#: Bytes of text per slice of neighbouring documents, and the most slices.
-SLICE_BYTES, MAX_SLICES = 8 << 20, 8192
+#: Bytes of text per slice of neighbouring documents. Beyond 1 TB slices grow, to 0.8 GB at
+#: 100 TB, so that their ends stay literals of a few MB; a slice is sorted and read once, on disk if need be.
+SLICE_BYTES, MAX_SLICES = 8 << 20, 1 << 17
 
 
 def fingerprints(texts: DataFrame, keys: list[str]) -> DataFrame:
