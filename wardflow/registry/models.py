@@ -8,8 +8,9 @@ from dataclasses import replace
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from wardflow.functions import text
 from wardflow.functions.text import space_tokens
-from wardflow.operators import classify, encode, evaluate, features, sampling
+from wardflow.operators import classify, encode, evaluate, features, folds, sampling, word_vectors
 from wardflow.plans import jobs
 from wardflow.registry.profiles import BOX, SUMMARY, box_sql, density_sql, describe_sql
 from wardflow.registry.query import Query
@@ -24,6 +25,7 @@ from wardflow.registry.relational import (
     vocabulary,
 )
 from wardflow.registry.tables import gap_label
+from wardflow.registry.text import ENGLISH, stop_list
 from wardflow.sources import shared, sinks, standin
 
 KEYS = ["doc_id", "chunk_no"]
@@ -358,10 +360,29 @@ def ml4(spark, d):
     )
 
 
+WORD_VECTORS = word_vectors.Settings()
+
+
+def clinical_words(rows):
+    """Tokens without clinical stop words, in the order of the text."""
+    return rows.withColumn("words", text.without_stop_words(text.word_tokens(F.col("TEXT")), text.CLINICAL_STOP_WORDS))
+
+
 def ml5(spark, d):
+    """Vectors of size 1000 trained in blocks on all training chunks, pooled for all chunks."""
     rows, train_set, _ = parts(spark, d)
-    vectors = word2vec(train_set).transform(rows)
-    return vectors.select(*KEYS, F.posexplode(vector_to_array("features")).alias("dim", "value"))
+    vectors = shared.materialised(word_vectors.fit(clinical_words(train_set), F.col("words"), WORD_VECTORS))
+    pooled = word_vectors.mean_vectors(clinical_words(rows), KEYS, F.col("words"), vectors, WORD_VECTORS.vector_size)
+    return pooled.select(*KEYS, F.posexplode("features").alias("dim", "value"))
+
+
+def ml5_pairs(spark, d):
+    """What the vectors are trained on: each two words of the vocabulary once, with their weight."""
+    train_set = parts(spark, d)[1]
+    rows = word_vectors.sentences(clinical_words(train_set), F.col("words"), WORD_VECTORS.max_sentence_length)
+    words = shared.materialised(word_vectors.vocabulary(rows, WORD_VECTORS))
+    dealt = word_vectors.cells(word_vectors.co_occurrences(rows, WORD_VECTORS.window), words, WORD_VECTORS.least_blocks)
+    return dealt.where("centre <= context").select("centre", "context", "weight")
 
 
 def ml9(spark, d):
@@ -393,14 +414,28 @@ def _search(spark, d):
     return classify.grid_metrics(spark, classify.cross_validate(classifier, grid, rows))
 
 
+def folded(rows):
+    """Chunks with their fold, by a hash of the admission, and words without stop words."""
+    words = text.without_stop_words(space_tokens(F.col("TEXT")), text.default_stop_words())
+    return folds.with_folds(rows, F.col("ID")).withColumn("words", F.filter(words, lambda w: w != ""))
+
+
 @functools.lru_cache(maxsize=1)
 def ml13(spark, d):
-    """The chain refitted on each fold over the grid; the best chain scores all splits."""
+    """Vocabulary, weights and classifier refitted on each fold over the grid, terms counted on the
+    whole training split; the best chain scores all splits."""
     rows, train_set, fit_set = parts(spark, d)
-    chain = classify.nested(notebook_tfidf(train_set), classify.logistic())
-    grid = classify.regression_grid(chain.getStages()[-1])
-    fitted = classify.cross_validate(chain, grid, fit_set)
-    return shared.materialised(classify.score(fitted.bestModel, rows, [*KEYS, "split"]))
+    classifier = classify.logistic()
+    labelled = shared.materialised(folded(fit_set).withColumn("Label", F.col("Label").cast("double")).select("fold", "words", "Label"))
+    grid = classify.regression_grid(classifier)
+    _, best = folds.refit_per_fold(folded(train_set), labelled, classifier, grid)
+    return shared.materialised(classify.score(best, folded(rows), [*KEYS, "split"]))
+
+
+def ml13_vocabularies(spark, d):
+    """The most frequent terms outside each fold, with the weights that its classifiers see."""
+    rows = folded(parts(spark, d)[1])
+    return folds.fold_vocabularies(folds.fold_counts(rows, F.col("words")), rows, features.SMALL_VOCABULARY)
 
 
 def ml15(spark, d):
@@ -425,6 +460,40 @@ SPLIT_CHUNKS = """SELECT doc_id, chunk_no, "Label", 1 AS {},
                            / 4294967296.0::DOUBLE AS share FROM doc_chunks)"""
 
 
+TRAIN_CHUNKS = """(SELECT * FROM doc_chunks
+        WHERE ('0x' || substr(md5("ID"::VARCHAR), 1, 8))::BIGINT / 4294967296.0::DOUBLE < 0.8)"""
+
+#: Chunks are shorter than the longest sentence.
+TRAINING_PAIRS = rf"""
+    WITH rows AS (
+        SELECT doc_id, chunk_no, list_filter(regexp_split_to_array(lower("TEXT"), '\W'),
+               lambda t: t <> '' AND t NOT IN ({stop_list(text.CLINICAL_STOP_WORDS)})) AS w
+        FROM {TRAIN_CHUNKS}),
+    known AS (SELECT t FROM (SELECT unnest(w) AS t FROM rows) GROUP BY t HAVING count(*) >= 10),
+    places AS (SELECT w, unnest(range(1, len(w) + 1)) AS i FROM rows),
+    pairs AS (SELECT least(w[i], w[i + d]) AS centre, greatest(w[i], w[i + d]) AS context, 6 - d AS x
+              FROM places, (SELECT unnest(range(1, 6)) AS d) WHERE i + d <= len(w))
+    SELECT centre, context, CASE WHEN centre = context THEN 2 ELSE 1 END * sum(x) / 5.0::DOUBLE AS weight
+    FROM pairs WHERE centre IN (SELECT t FROM known) AND context IN (SELECT t FROM known)
+    GROUP BY centre, context"""
+
+FOLD_VOCABULARIES = rf"""
+    WITH rows AS (
+        SELECT doc_id, chunk_no, ('0x' || substr(md5("ID"::VARCHAR || ':fold'), 1, 8))::BIGINT % 5 AS own,
+               list_filter(regexp_split_to_array(lower("TEXT"), '\s'),
+               lambda t: t <> '' AND t NOT IN ({stop_list(ENGLISH)})) AS w
+        FROM {TRAIN_CHUNKS}),
+    folds AS (SELECT unnest(range(0, 5)) AS fold),
+    sizes AS (SELECT fold, count(*) AS m FROM folds, rows WHERE own <> fold GROUP BY fold),
+    terms AS (SELECT own, t, count(*) AS df, sum(tf) AS freq
+              FROM (SELECT own, doc_id, chunk_no, t, count(*) AS tf
+                    FROM (SELECT own, doc_id, chunk_no, unnest(w) AS t FROM rows) GROUP BY ALL) GROUP BY own, t),
+    outside AS (SELECT fold, t, sum(df) AS df, sum(freq) AS freq FROM folds, terms WHERE own <> fold GROUP BY fold, t),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY fold ORDER BY freq DESC, encode(t)) AS place FROM outside)
+    SELECT ranked.fold, t AS token, freq, df, CASE WHEN df < 5 THEN 0 ELSE ln((m + 1.0::DOUBLE) / (df + 1)) END AS idf
+    FROM ranked JOIN sizes ON sizes.fold = ranked.fold WHERE place <= 3000"""
+
+
 def sound(query):
     """Every chunk is scored once, with its label and split, a score from 0 to 1, and the
     prediction that the score asks for."""
@@ -451,6 +520,7 @@ MODELS = [
         ("doc_chunks",),
     ),
     Query("ml5_word2vec_features", "doc_id:i, chunk_no:i, dim:i, value:d", ml5),
+    Query("ml5_training_pairs", "centre:s, context:s, weight:d", ml5_pairs, TRAINING_PAIRS, ("doc_chunks",)),
     Query("ml6_logistic_scores", SPLIT_SCORES, scored_by(lambda: classify.logistic(20, 1e-4))),
     Query(
         "ml6_elastic_net_scores",
@@ -473,6 +543,13 @@ MODELS = [
     ),
     Query("ml12_grid_metrics", GRID_COLUMNS, _search),
     Query("ml13_cross_validated_scores", SPLIT_SCORES, ml13),
+    Query(
+        "ml13_fold_vocabularies",
+        "fold:i, token:s, freq:i, df:i, idf:d",
+        ml13_vocabularies,
+        FOLD_VOCABULARIES,
+        ("doc_chunks",),
+    ),
     Query("ml14_cross_validation_table", GRID_COLUMNS, _search),
     Query("so4_best_parameters", GRID_COLUMNS, lambda s, d: classify.best_point(_search(s, d))),
     Query("ml15_pooled_perceptron_scores", SPLIT_SCORES, ml15),

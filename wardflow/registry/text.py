@@ -28,7 +28,7 @@ def documents(spark, d):
     return rows.select("doc_id", F.col("text").alias("TEXT"))
 
 
-def _stop_list(words) -> str:
+def stop_list(words) -> str:
     return ", ".join("'" + w.replace("'", "''") + "'" for w in words)
 
 
@@ -134,12 +134,12 @@ TEXTS = [
     token_query(
         "tx11_default_stop_words",
         tx(lambda c: T.without_stop_words(T.space_tokens(c), T.default_stop_words())),
-        f"list_filter({SPACE}, lambda t: t NOT IN ({_stop_list(ENGLISH)}))",
+        f"list_filter({SPACE}, lambda t: t NOT IN ({stop_list(ENGLISH)}))",
     ),
     token_query(
         "tx12_clinical_stop_words",
         tx(lambda c: T.without_stop_words(T.word_tokens(c), T.CLINICAL_STOP_WORDS)),
-        f"list_filter({WORD}, lambda t: t NOT IN ({_stop_list(T.CLINICAL_STOP_WORDS)}))",
+        f"list_filter({WORD}, lambda t: t NOT IN ({stop_list(T.CLINICAL_STOP_WORDS)}))",
     ),
 ]
 
