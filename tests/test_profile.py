@@ -65,13 +65,16 @@ def test_deviation_of_large_values(spark):
     assert profile.describe(df.limit(1), "x").first()["std"] is None
 
 
-def test_quartiles_by_group(values, monkeypatch):
+def test_quartiles_by_group(spark, values):
     df, data = values
-    for groups in (2, 0):  # broadcast, and the join beyond the bound
-        monkeypatch.setattr(profile, "MAX_GROUPS", groups)
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    for bound in (before, "-1"):  # broadcast, and the join beyond the bound
+        spark.conf.set(limit, bound)
         got = {r.g: (r.q25, r.q50, r.q75) for r in profile.describe(df, "x", ["g"]).collect()}
         for g, part in data.groupby("g"):
             assert got[g] == pytest.approx(tuple(part["x"].quantile([0.25, 0.5, 0.75])))
+    spark.conf.set(limit, before)
 
 
 def test_admissions_without_a_key(spark):

@@ -3,7 +3,7 @@
 Distributions start from value counts (one row per distinct value, combined before the
 shuffle). Quartiles are read off the running sums of the counts at their ranks, so no task
 holds all values of a group. Figures of a group reach its rows by a join with one row per
-group, which is broadcast while there are at most MAX_GROUPS groups.
+group.
 """
 
 from __future__ import annotations
@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from wardflow.operators.ordering import running_sums
 
 QUARTILES = [0.25, 0.5, 0.75]
-MAX_GROUPS = 10_000
 MAX_AGE = 200
 
 
@@ -108,9 +107,8 @@ def moments(df: DataFrame, value: str, groups: list[str] | None = None) -> DataF
 
 
 def _of_group(rows: DataFrame, figures: DataFrame, groups: list[str]) -> DataFrame:
-    """``rows`` with the figures of their group; the groups may be two, with half the rows each."""
-    if figures.limit(MAX_GROUPS + 1).count() <= MAX_GROUPS:
-        figures = F.broadcast(figures)
+    """``rows`` with the figures of their group. No hint: at run time few figures are broadcast,
+    and many are joined with hot groups split."""
     return rows.join(figures, groups)
 
 

@@ -10,7 +10,17 @@ from pyspark.sql import functions as F
 
 from wardflow.functions import text
 from wardflow.functions.text import space_tokens
-from wardflow.operators import classify, encode, evaluate, features, folds, sampling, word_vectors
+from wardflow.operators import (
+    classify,
+    encode,
+    evaluate,
+    external,
+    features,
+    folds,
+    minibatch,
+    sampling,
+    word_vectors,
+)
 from wardflow.plans import jobs
 from wardflow.registry.profiles import BOX, SUMMARY, box_sql, density_sql, describe_sql
 from wardflow.registry.query import Query
@@ -443,14 +453,24 @@ def ml15(spark, d):
     tokens = space_tokens(F.col("TEXT"))
     pooled = encode.mean_pool(clean_docs(spark, d), ["doc_id", "Label"], tokens, vectors)
     whole = F.lit(0).alias("chunk_no")
-    rows = shared.materialised(
-        pooled.select("doc_id", whole, "Label", F.col("pooled").alias("features"))
-    )
+    values = vector_to_array("pooled").alias("features")
+    rows = shared.materialised(pooled.select("doc_id", whole, "Label", values))
     rows = sampling.hash_split(rows, F.col("doc_id"))
-    width = len(rows.first()["features"])
-    train = rows.where(F.col("split") == "train")
-    model = classify.fit_on_features(classify.perceptron(inputs=width), train)
-    return classify.score(model, rows, [*KEYS, "split"])
+    weights, _ = minibatch.fit(rows.where("split = 'train'"), KEYS)
+    scored = rows.withColumn("score", minibatch.score(weights, F.col("features")))
+    return scored.withColumn("prediction", (F.col("score") > 0.5).cast("int"))
+
+
+def ml16_exported(spark, d):
+    """Scores of the exported weights, by code that knows no Spark ML, and whether they are the model's."""
+    rows, train_set, fit_set = parts(spark, d)
+    fitted = plain_tfidf(train_set)
+    model = classify.train(fitted, classify.logistic(10, 0.01), fit_set)
+    path = external.export_linear(spark, model.stages[-1], shared.shared_path(spark, "linear"))
+    places, values = external.sparse_pairs(F.col("features"))
+    outside = external.scorer(spark.read.parquet(path), places, values)
+    scored = classify.score(model, rows, [*KEYS, "split", "features"]).withColumn("_outside", outside)
+    return scored.withColumn("same", (F.abs(F.col("score") - F.col("_outside")) < 1e-9).cast("int"))
 
 
 #: All chunks with their split and a flag that is 1.
@@ -553,6 +573,13 @@ MODELS = [
     Query("ml14_cross_validation_table", GRID_COLUMNS, _search),
     Query("so4_best_parameters", GRID_COLUMNS, lambda s, d: classify.best_point(_search(s, d))),
     Query("ml15_pooled_perceptron_scores", SPLIT_SCORES, ml15),
+    Query(
+        "ml16_exported_scores",
+        "doc_id:i, chunk_no:i, Label:i, split:s, same:i",
+        ml16_exported,
+        SPLIT_CHUNKS.format("same"),
+        ("doc_chunks",),
+    ),
     Query("ml16_chunk_scores", SPLIT_SCORES, scored_by(lambda: classify.logistic(10, 0.01))),
 ]
 
