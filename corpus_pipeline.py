@@ -1,7 +1,15 @@
 """From raw documents to packed windows: five stages, each on what the one before kept.
 
 Each stage is written as Parquet to the shared folder and read again. All but the last
-return the columns of ``documents``.
+return the columns of ``documents``; extra columns of the input end with the first stage.
+The last returns the pieces of all documents with their token ids, so that windows can be
+filled from its rows alone.
+
+Defined cases: a NULL text is an empty one. Rows without a doc_id or with one that repeats
+are documents of their own in every stage but near-dedup, which decides by doc_id: rows of
+one doc_id stay or go together, and those without one stay. Texts of any length are taken
+whole. Ties go to the smallest doc_id (near-dedup) or the largest (line dedup). An empty
+table gives an empty table in every stage.
 """
 
 from __future__ import annotations
@@ -46,9 +54,15 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packed_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents in windows of 1024 tokens."""
+    """The pieces of all documents in windows of 1024 tokens, with their ids. ``copy`` tells the
+    rows of one doc_id apart, which mixing has drawn several times."""
     bound_batches(spark)
-    return packing.pack(docs, tokenizer_path(), with_ids=False)
+    numbered = docs.select(F.struct("doc_id", F.monotonically_increasing_id().alias("copy")).alias("doc_id"), "text")
+    pieces = materialised(packing.token_pieces(numbered, tokenizer_path()))
+    # dealt and ordered by copy, so the copies of one document meet in no group
+    by_copy = pieces.select(F.col("doc_id.doc_id").alias("_doc_id"), F.col("doc_id.copy").alias("doc_id"), *pieces.columns[1:])
+    packed = packing.pack_pieces(by_copy)
+    return packed.withColumnsRenamed({"doc_id": "copy", "_doc_id": "doc_id"})
 
 
 STAGES = [
