@@ -65,10 +65,47 @@ def test_stages_by_brute_force(spark):
     assert whole == {p.doc_id: p.doc_tokens * copies[p.doc_id] for p in pieces}
 
 
-@pytest.mark.parametrize("rows", [None, []])
-def test_stages_take_edge_cases(spark, rows):
-    docs = clashing(documents(spark, rows))
+def test_packing_tells_copies_apart_and_returns_ids(spark):
+    from tokenizers import Tokenizer
+
+    docs = clashing(documents(spark))
+    pieces = corpus_pipeline.packed_windows(spark, docs, FOLDER).collect()
+    encode = Tokenizer.from_file(queries.tokenizer_path())
+    expected = sorted(
+        ((r.doc_id, [*encode.encode(r.text or "", add_special_tokens=False).ids, 0]) for r in docs.collect()), key=str
+    )
+    whole, windows = {}, {}
+    for p in sorted(pieces, key=lambda p: p.start):
+        assert len(p.ids) == p.length
+        whole.setdefault((p.doc_id, p["copy"]), []).extend(p.ids)
+        windows.setdefault(p.sequence_id, []).append((p.offset, p.length))
+    assert sorted(((d, ids) for (d, _), ids in whole.items()), key=str) == expected
+    for parts in windows.values():
+        ends = [0, *[at + n for at, n in sorted(parts)]]
+        assert [at for at, _ in sorted(parts)] == ends[:-1] and ends[-1] <= 1024
+
+
+def test_stages_on_edge_cases(spark):
+    from test_llm_lines import brute_force as lines_left
+
+    docs = clashing(documents(spark))
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    kept = corpus_pipeline.good_documents(spark, docs, FOLDER)
+    assert kept.columns == corpus_pipeline.COLUMNS
+    assert {(r.doc_id, r.text) for r in kept.collect()} <= set(rows)
+    left = corpus_pipeline.unique_lines(spark, docs, FOLDER)
+    assert sorted(((r.doc_id, r.text or "") for r in left.collect()), key=str) == [r[:2] for r in lines_left(rows)]
+    # 0 and 1 have one text; the two rows of 7 stay together
+    distinct = corpus_pipeline.distinct_documents(spark, docs, FOLDER).collect()
+    assert sorted((str(r.doc_id) for r in distinct)) == sorted(str(d) for d, _ in rows if d != 1)
+    mixed = corpus_pipeline.mixed_sources(spark, docs, FOLDER)
+    assert mixed.columns == corpus_pipeline.COLUMNS
+    assert {(r.doc_id, r.text) for r in mixed.collect()} <= set(rows)
+
+
+def test_stages_on_an_empty_table(spark):
+    docs = clashing(documents(spark, []))
     for name, stage in corpus_pipeline.STAGES:
         out = stage(spark, docs, FOLDER)
         assert out.columns == corpus_pipeline.COLUMNS or name == "packing"
-        assert out.count() >= 0
+        assert out.collect() == []
