@@ -82,3 +82,24 @@ def test_written_tables_can_be_dropped(spark, tmp_path):
         ["ID", "chunk_no"],
     )
     assert spark.read.parquet(key).columns == ["ID", "chunk_no", "logits", "pred_label", "label"]
+
+
+def test_tables_on_a_machines_own_disk_are_refused_on_a_cluster(spark):
+    class Cluster:
+        """The session as if it had a master elsewhere and no shared folder."""
+
+        _jvm, _jsc = spark._jvm, spark._jsc
+        sparkContext = type("Context", (), {"master": "spark://elsewhere:7077"})
+        settings = {"spark.sql.warehouse.dir": "/tmp/warehouse"}
+
+        class conf:
+            @staticmethod
+            def get(name, default=None):
+                return Cluster.settings.get(name, default)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared.shared_folder(Cluster)
+    Cluster.sparkContext.master = "local[2]"
+    assert shared.shared_folder(Cluster) == "/tmp/warehouse/wardflow-tables"
+    Cluster.settings["spark.checkpoint.dir"] = "hdfs:///shared"
+    assert shared.shared_folder(Cluster) == "hdfs:///shared"

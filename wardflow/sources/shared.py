@@ -9,9 +9,22 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; where unset, a folder in its warehouse."""
+    """``spark.checkpoint.dir`` of the session; where unset, a folder in its warehouse.
+
+    On a cluster a warehouse on the machine's own disk is refused: tables would lose parts.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    return folder or os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "wardflow-tables")
+    if folder:
+        return folder
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    if not spark.sparkContext.master.startswith("local") and _on_own_disk(spark, warehouse):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
+    return os.path.join(warehouse, "wardflow-tables")
+
+
+def _on_own_disk(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).getUri().getScheme() == "file"
 
 
 def shared_path(spark: SparkSession, name: str, folder: str | None = None) -> str:
