@@ -45,6 +45,45 @@ def test_base_spans(spark):
         assert set(base[i]) <= set(whole[i])
 
 
+def test_text_of_very_many_runs(spark):
+    rng = np.random.default_rng(9)
+    words = []
+    for i in range(20_000):
+        run = "".join(rng.choice(list("0123456789abcdef"), 32))
+        words.append((run, f"token={run}", f"AKIA{run.upper()}", f"{run}+Q", "plain", f"a{run}Zx")[i % 6])
+    text = " ".join(words)
+    docs = documents(spark, [(1, text, "en", "s", 1)])
+    got = secrets.find_secrets(docs)
+    base = spans(got, "base")[1]
+    assert base == base_spans(text)
+    others = [(a, b) for a, k, b in spans(got, "spans")[1] if k == 3]
+    taken = np.zeros(len(text), bool)
+    for a, _, b in base:
+        taken[a:b] = True
+    assert others == sorted(others) and not any(taken[a:b].any() for a, b in others)
+
+
+def naive_apart(base, runs):
+    return [r for r in runs if not any(b[0] < r[2] and r[0] < b[2] for b in base)]
+
+
+def test_runs_apart_from_base_spans(spark):
+    rng = np.random.default_rng(10)
+    kind = secrets.NO_SPANS
+    rows = []
+    for i in range(300):
+        at = np.cumsum(rng.integers(1, 9, 2 * int(rng.integers(0, 12))))
+        runs = [(int(a), 3, int(b), "r") for a, b in zip(at[::2], at[1::2])]
+        starts = rng.integers(0, 60, int(rng.integers(0, 6)))
+        base = [(int(a), int(rng.integers(0, 3)), int(a + rng.integers(1, 12)), "b") for a in starts]
+        rows.append((i, base, runs))
+    df = spark.createDataFrame(rows, f"i int, base {kind}, runs {kind}")
+    got = df.select("i", secrets._apart(F.col("base"), F.col("runs")).alias("apart")).collect()
+    apart = {r.i: [tuple(x) for x in r.apart] for r in got}
+    for i, base, runs in rows:
+        assert apart[i] == naive_apart(base, runs)
+
+
 def test_edge_cases(spark):
     assert secrets.find_secrets(clashing(documents(spark))).count() == documents(spark).count()
     assert secrets.find_secrets(documents(spark, [])).collect() == []

@@ -78,30 +78,83 @@ def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
+def _running(values: Column, join) -> Column:
+    """``join`` of all values up to each place, by strides that double: n log n steps at any length."""
+
+    def scan(known: Column) -> Column:
+        rounds = F.ceil(F.log2(F.greatest(F.size(known), F.lit(2)))).cast("int")
+        strides = F.transform(F.sequence(F.lit(0), rounds - 1), lambda k: F.pow(F.lit(2), k).cast("int"))
+        return F.aggregate(strides, known, further)
+
+    def further(sums: Column, stride: Column) -> Column:
+        return F.transform(
+            sums, lambda x, i: F.when(i < stride, x).otherwise(join(x, F.get(sums, i - stride)))
+        )
+
+    return _let(values, scan)
+
+
+def _sum_of_two(x: Column, y: Column) -> Column:
+    return x + y
+
+
+NO_SPANS = "array<struct<start:int,kind:int,end:int,value:string>>"
+
+
+def _span(start: Column, kind, end: Column, value: Column) -> Column:
+    return F.struct(start.alias("start"), kind.alias("kind"), end.alias("end"), value.alias("value"))
+
+
 def _found(pattern: str, kind: int, group: int = 0, least: int = 0) -> Column:
     """Array of (start, kind, end, value) of all matches with ``least`` characters in ``group``.
 
     The text between the matches tells their places.
     """
     gaps = F.transform(F.split("text", pattern, -1), lambda x: F.length(x))
-    whole = F.regexp_extract_all("text", F.lit(pattern), F.lit(0))
+    whole = F.transform(F.regexp_extract_all("text", F.lit(pattern), F.lit(0)), lambda w: F.length(w))
     named = F.regexp_extract_all("text", F.lit(pattern), F.lit(group))
-    matches = F.zip_with(whole, named, lambda w, v: F.struct(F.length(w).alias("n"), v.alias("value")))
-    sides = F.zip_with(gaps, matches, lambda g, m: F.struct(g.alias("gap"), m.alias("match")))
-    none = F.array().cast("array<struct<start:int,kind:int,end:int,value:string>>")
-    begin = F.struct(F.lit(0).alias("at"), none.alias("found"))
-
-    def step(state: Column, side: Column) -> Column:
-        start, match = state["at"] + side["gap"], side["match"]
-        end = start + F.coalesce(match["n"], F.lit(0))
-        span = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), match["value"].alias("value"))
-        good = match.isNotNull() & (F.length(match["value"]) >= least)
-        more = F.when(good, F.concat(state["found"], F.array(span))).otherwise(state["found"])
-        return F.struct(end.alias("at"), more.alias("found"))
+
+    def placed(sizes: Column) -> Column:
+        # there is one gap more than there are matches
+        steps = F.zip_with(gaps, sizes, lambda g, n: g + F.coalesce(n, F.lit(0)))
+        return _let(_running(steps, _sum_of_two), lambda ends: matched(sizes, ends))
+
+    def matched(sizes: Column, ends: Column) -> Column:
+        spans = F.transform(
+            named,
+            lambda v, i: _span(F.get(ends, i) - F.get(sizes, i), F.lit(kind), F.get(ends, i), v),
+        )
+        return F.filter(spans, lambda s: F.length(s["value"]) >= least) if least else spans
 
     # most texts hold no match, and need one look
-    spans = F.aggregate(sides, begin, step, lambda state: state["found"])
-    return F.when(F.regexp_like("text", F.lit(pattern)), spans).otherwise(none)
+    return F.when(F.regexp_like("text", F.lit(pattern)), _let(whole, placed)).otherwise(F.array().cast(NO_SPANS))
+
+
+def _apart(base: Column, runs: Column) -> Column:
+    """The runs that overlap no base span.
+
+    In the order of their starts, a run lies apart if no base span before it ends beyond its
+    start and none after it starts before its end.
+    """
+
+    def held(spans: Column) -> Column:
+        ends = F.transform(spans, lambda s: F.when(s["kind"] == 3, F.lit(-1)).otherwise(s["end"]))
+        starts = F.transform(
+            F.reverse(spans), lambda s: F.when(s["kind"] == 3, F.lit(2**31 - 1)).otherwise(s["start"])
+        )
+        return _let(
+            _running(ends, F.greatest),
+            lambda e: _let(F.reverse(_running(starts, F.least)), lambda b: chosen(spans, e, b)),
+        )
+
+    def chosen(spans: Column, ends: Column, starts: Column) -> Column:
+        def free(s: Column, i: Column) -> Column:
+            return (s["kind"] == 3) & (F.get(ends, i) <= s["start"]) & (F.get(starts, i) >= s["end"])
+
+        return F.filter(spans, free)
+
+    both = F.array_sort(F.concat(base, runs))
+    return F.when((F.size(base) == 0) | (F.size(runs) == 0), runs).otherwise(_let(both, held))
 
 
 def _tail(z: Column) -> Column:
@@ -200,22 +253,19 @@ def _parts(run: Column) -> Column:
         )
 
     def placed(parts: Column) -> Column:
-        none = F.array().cast("array<struct<start:int,kind:int,end:int,value:string>>")
-        begin = F.struct(run["start"].alias("at"), none.alias("found"))
+        lengths = F.transform(parts, lambda part: F.length(part))
+        return _let(_running(lengths, _sum_of_two), lambda ends: spanned(parts, ends))
 
-        def step(state: Column, part: Column) -> Column:
-            end = state["at"] + F.length(part)
-            span = F.struct(
-                state["at"].alias("start"), run["kind"].alias("kind"), end.alias("end"), part.alias("value")
-            )
-            more = F.when(F.length(part) >= 20, F.concat(state["found"], F.array(span))).otherwise(state["found"])
-            return F.struct(end.alias("at"), more.alias("found"))
+    def spanned(parts: Column, ends: Column) -> Column:
+        def span(part: Column, i: Column) -> Column:
+            end = run["start"] + F.get(ends, i)
+            return _span(end - F.length(part), run["kind"], end, part)
 
-        return F.aggregate(parts, begin, step, lambda state: state["found"])
+        return F.filter(F.transform(parts, span), lambda s: F.length(s["value"]) >= 20)
 
     value = run["value"]
     words, signs = F.split(value, SIGNS, -1), F.regexp_extract_all(value, F.lit(SIGNS), F.lit(0))
-    parts = _let(words, lambda w: _let(signs, lambda s: placed(cut(w, s))))
+    parts = _let(words, lambda w: _let(signs, lambda s: _let(cut(w, s), placed)))
     return F.when(value.rlike("[+/]") & value.rlike("[_-]"), parts).otherwise(F.array(run))
 
 
@@ -225,13 +275,10 @@ def _spans(docs: DataFrame) -> DataFrame:
     found = docs.select("doc_id", text_of().alias("text")).select(
         "doc_id", base.alias("base"), F.flatten(F.transform(_found(TOKEN, 3), _parts)).alias("runs")
     )
-    apart = F.filter(
-        "runs", lambda r: ~F.exists("base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"]))
-    )
     bare = F.transform(
         "base", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"))
     )
-    tested = F.filter(F.transform(apart, _tested), lambda r: r["known"])
+    tested = F.filter(F.transform(_apart(F.col("base"), F.col("runs")), _tested), lambda r: r["known"])
     return materialised(found.select("doc_id", F.array_sort(bare).alias("base"), tested.alias("runs")))
 
 
