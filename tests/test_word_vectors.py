@@ -121,3 +121,11 @@ def test_pooled_texts_by_brute_force(spark, fitted, monkeypatch, words, rows):
 def test_no_words(spark):
     docs = spark.createDataFrame([(1, None)], "k int, words array<string>")
     assert wv.fit(docs, F.col("words"), SETTINGS).collect() == []
+
+
+def test_no_number_of_the_state_is_converted():
+    """Between rounds a vector is one value, not a list of numbers."""
+    assert "array" not in wv.STATE
+    vectors = np.arange(12, dtype=np.float32).reshape(3, 4)
+    assert (wv._unpacked(wv._packed(vectors)) == vectors).all()
+    assert len(wv._unpacked(wv._packed(vectors[:0]))) == 0
