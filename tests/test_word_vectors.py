@@ -129,3 +129,27 @@ def test_no_number_of_the_state_is_converted():
     vectors = np.arange(12, dtype=np.float32).reshape(3, 4)
     assert (wv._unpacked(wv._packed(vectors)) == vectors).all()
     assert len(wv._unpacked(wv._packed(vectors[:0]))) == 0
+
+
+def test_no_library_word2vec_is_trained_for_scores(spark, monkeypatch, tmp_path):
+    """The scores on word vectors come from the vectors trained in blocks; repeated rows are each scored alike."""
+    from pyspark.ml.feature import Word2Vec
+
+    from wardflow.registry import models
+
+    def refused(*_):
+        raise AssertionError("trained by one task")
+
+    monkeypatch.setattr(Word2Vec, "_fit", refused)
+    monkeypatch.setattr(models, "WORD_VECTORS", wv.Settings(vector_size=8, least_blocks=2))
+    draw = random.Random(1)
+    made = [(i, " ".join(draw.choices("abcdefgh", k=40))) for i in range(60)]
+    spark.createDataFrame([*made, *made[:20]], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    query = next(q for q in models.MODELS if q.name == "ml6_logistic_on_word2vec")
+    got = query.run(spark, str(tmp_path)).collect()
+    assert len(got) == 80 and all(0 <= r.score <= 1 for r in got)
+    by_doc = {}
+    for r in got:
+        by_doc.setdefault(r.doc_id, []).append(r.score)
+    assert all(len(s) == (2 if i < 20 else 1) and max(s) - min(s) < 1e-6 for i, s in by_doc.items())
