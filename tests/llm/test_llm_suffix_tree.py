@@ -106,3 +106,16 @@ def test_scores_of_texts_sum_to_one(spark):
         ends.append(10 ** (got[i] - layer.scores(np.array(before, np.int64), first[: len(before)]).sum()))
         assert math.isclose(p + left * unknown + ends[-1], 1, rel_tol=1e-6)
     assert ends[texts.index("a b")] > 2 * ends[texts.index("a")]
+
+
+def test_seldom_words_are_contexts_too(spark):
+    """A pair is found whatever the rank of its words: settings of few words lose none."""
+    docs = [(2 * i, " ".join(f"w{(i + j) % 30}" for j in range(12)) + " odd pair") for i in range(60)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    few = suffix_tree.fit(frame, suffix_tree.Settings(hot_words=3, first_words=2))
+    whole = suffix_tree.fit(frame, suffix_tree.Settings())
+    assert {b"odd", b"pair"} <= set(few.words.hot)
+    for one, other in zip(few.words.levels, whole.words.levels):
+        assert len(one.keys) == len(other.keys) > 25
+    a, b = ({r.doc_id: r.score for r in suffix_tree.score(frame, m).collect()} for m in (few, whole))
+    assert all(math.isclose(a[k], b[k], rel_tol=1e-9) for k in b)

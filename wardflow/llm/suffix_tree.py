@@ -3,11 +3,12 @@
 Texts are words (ASCII letters in lower case) and one end per document. As in the base
 score, the symbols are the training words, the end, and one symbol for all unknown words.
 Contexts count the end like a word.
-A state is a context of 0, 1 or 2 words. Candidates grow from what was kept: the
-``first_words`` most frequent words, then the pairs kept at these. Next words that make up
-at least ``pair_share`` of all tokens are counted; they are kept if they diverge from what
-the suffix predicts (count times log ratio above ``least_gain`` nats), and a context is
-kept if it keeps any. A word is scored in the state of the longest kept suffix.
+A state is a context of 0, 1 or 2 words. Candidates grow from what was kept: all words that
+make up at least ``pair_share`` of all tokens, then the pairs kept at these. Next words that
+make up as much in a context are counted; they are kept if they diverge from what the suffix
+predicts (count times log ratio above ``least_gain`` nats), and a context is kept if it
+keeps any. No candidate is left out by a number of words: neither word of a pair is seldomer
+than the pair. A word is scored in the state of the longest kept suffix.
 
 Smoothing: each state takes a discount off its counts and leaves that mass to its suffix,
 spread over the words that it does not list; the root leaves it to the unknown word.
@@ -17,9 +18,10 @@ has contexts of up to DEPTH symbols back to the blank before the word, candidate
 ``least_share`` of all symbols, the same divergence test, and Witten and Bell's smoothing.
 ``score`` is the probability over the symbols, ``spelt_score`` adds the spelling.
 
-Everything is counted from all training documents. The ``hot_words`` most frequent words
-are looked up inside the tasks; all others, rare by that choice, meet their counts in a
-join. The number of states in both trees is bounded by the shares at any input.
+Everything is counted from all training documents. The ``hot_words`` most frequent words,
+and all that can be part of a pair, are looked up inside the tasks; the others meet their
+counts in a join. The number of states in both trees is bounded by the shares at any input.
+``first_words`` is the least number of words that are tried as contexts.
 
 Defined cases: NULL, empty and blank texts are one end. Rows with one doc_id are scored as
 documents of their own. Without training documents every word is unknown. Extra columns are
@@ -380,14 +382,17 @@ def fit(training: DataFrame, settings: Settings | None = None) -> Model:
     arrays = [got[c].to_numpy().astype(np.int64) for c in ("depth", "context", "symbol", "n")]
     tree = grow(*arrays, s.least_gain)
 
-    frequent = counts.where(F.length("word") > 0).orderBy(F.desc("c"), "word").limit(s.hot_words).toArrow()
+    least = max(2, s.pair_share * tokens)
+    named = counts.where(F.length("word") > 0)
+    paired = max(s.first_words, named.where(F.col("c") >= least).count())
+    frequent = named.orderBy(F.desc("c"), "word").limit(max(s.hot_words, paired)).toArrow()
     hot, hot_c = frequent["word"].to_pylist(), frequent["c"].to_numpy().astype(np.int64)
     symbol_c = np.r_[hot_c, ends]
     log_base = np.log10(symbol_c + 0.5) - base_log(tokens, distinct)
-    words = Words(hot, log_words(tokens, distinct, symbol_c), log_base, s.first_words)
-    sizes = hot_c[: s.first_words].astype(np.float64)
+    words = Words(hot, log_words(tokens, distinct, symbol_c), log_base, paired)
+    sizes = hot_c[:paired].astype(np.float64)
     for _ in range(2):
-        many = context_words(training, words).where(F.col("n") >= max(2, s.pair_share * tokens)).toArrow()
+        many = context_words(training, words).where(F.col("n") >= least).toArrow()
         key, n = (many[c].to_numpy().astype(np.int64) for c in ("key", "n"))
         words = words.grown(key, n, sizes, s.least_gain)
         order = np.argsort(key)
