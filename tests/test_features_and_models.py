@@ -211,3 +211,33 @@ def test_one_id_does_not_fill_the_sample(spark, monkeypatch):
     monkeypatch.setattr(models, "FIT_ROWS", 30)
     fit_set = models.parts(spark, "")[-1]
     assert fit_set.count() == 30 and fit_set.select("ID").distinct().count() > 5
+
+
+def test_tfidf_from_one_count_is_that_of_the_stages(spark):
+    texts = ["a b  b The c", "b c d", "", "a a e", "c b a", "b", "b c", "a b c", "f"]
+    rows = spark.createDataFrame([(t,) for t in texts], "TEXT string")
+
+    def weights(model):
+        words = model.stages[-2].vocabulary
+        got = model.transform(rows).select("TEXT", "features").collect()
+        return {r.TEXT: {words[i]: round(float(v), 9) for i, v in zip(r.features.indices, r.features.values)} for r in got}
+
+    for drop in (True, False):
+        assert weights(features.fit_tfidf(rows, 100, drop)) == weights(features.tfidf_stages(100, drop).fit(rows))
+    few = features.fit_tfidf(rows, 100, heard=rows.where("TEXT = 'b c d'"))
+    assert few.stages[-2].vocabulary == ["b", "c", "d"]
+    assert weights(few)["b c d"] == weights(features.fit_tfidf(rows, 100))["b c d"]
+
+
+def test_text_is_cleaned_once_for_naive_bayes(spark, monkeypatch, tmp_path):
+    from wardflow.registry import models
+
+    made, cleaned = [(i, "a b c " * (1 + i % 3)) for i in range(20)], []
+    spark.createDataFrame([*made, made[0]], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    expected = classify.naive_bayes_parameters(models.weights(spark, str(tmp_path)), models.clean_docs(spark, str(tmp_path)))[1]
+    whole = models.clean_docs
+    monkeypatch.setattr(models, "clean_docs", lambda *a: cleaned.append(a) or whole(*a))
+    got = models.nb_tables(spark, str(tmp_path))[1]
+    assert len(cleaned) == 1 and "documents.parquet" not in got._jdf.queryExecution().toString()
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))

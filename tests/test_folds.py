@@ -74,3 +74,14 @@ def test_a_term_of_one_fold_is_unknown_where_it_judges(spark):
     got = folds.counts_without(folds.fold_counts(df, F.col("words")), 2).collect()
     assert sorted(map(tuple, got)) == [(0, "y", 1, 2), (1, "x", 1, 1)]
     assert folds.fold_vocabularies(folds.fold_counts(df.limit(0), F.col("words")), df.limit(0), 5).collect() == []
+
+
+def test_fits_get_the_terms_of_the_labelled_rows_only(rows, monkeypatch):
+    """What a fit sends to the driver follows the rows that are fitted, not the vocabulary."""
+    sizes, whole = [], folds.weighting
+    monkeypatch.setattr(folds, "weighting", lambda vocabulary, *a: sizes.append(len(vocabulary)) or whole(vocabulary, *a))
+    labelled = rows.where("ID < 60 and words is not null")
+    own = {w for r in labelled.collect() for w in r.words}
+    grid = classify.regression_grid(classify.logistic(), reg_params=(1e-3,), max_iters=(2,), elastic_nets=(0.0,))
+    folds.refit_per_fold(rows, labelled, classify.logistic(), grid, size=1000)
+    assert max(sizes[:-1]) <= len(own) < sizes[-1]
