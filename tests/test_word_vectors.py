@@ -153,3 +153,25 @@ def test_no_library_word2vec_is_trained_for_scores(spark, monkeypatch, tmp_path)
     for r in got:
         by_doc.setdefault(r.doc_id, []).append(r.score)
     assert all(len(s) == (2 if i < 20 else 1) and max(s) - min(s) < 1e-6 for i, s in by_doc.items())
+
+
+def test_each_cell_of_a_round_has_its_own_task(spark):
+    """However few partitions a shuffle has, no cell waits behind another; each pair meets its two vectors."""
+    blocks, few = 8, wv.Settings(vector_size=4, least_blocks=8)
+    vector = wv._packed(np.ones((1, 5), np.float32))[0].as_py()
+    state = spark.createDataFrame([(k, b, f"w{b}", 1.0, vector) for b in range(blocks) for k in ("centre", "context")], wv.STATE)
+    pairs = spark.createDataFrame(
+        [(f"w{b}", f"w{(b + 1) % blocks}", 1.0, b, 1) for b in range(blocks)],
+        "centre string, context string, weight double, block int, round int",
+    )
+    got = wv._round(state, pairs, 1, blocks, 0, few).withColumn("task", F.spark_partition_id()).collect()
+    assert len(got) == 2 * blocks and len({r.task for r in got}) == blocks
+    assert all(r.vector != vector for r in got)
+
+
+def test_summed_gradients_by_brute_force():
+    draw = np.random.default_rng(1)
+    at, gradient = draw.integers(0, 9, 40), draw.normal(0, 1, (40, 3)).astype(np.float32)
+    rows, summed = wv._summed(at, gradient)
+    assert rows.tolist() == sorted(set(at.tolist()))
+    assert np.allclose(summed, [gradient[at == r].sum(axis=0) for r in rows], atol=1e-5)
