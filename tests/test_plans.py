@@ -53,3 +53,8 @@ def test_no_query_joins_all_pairs(spark, name):
     plan = physical(registry.ALL[name].run(spark, FOLDER))
     assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
+
+
+def test_sub_words_clean_the_text_once(spark):
+    """Vocabulary, characters and words come from one written count of the tokens."""
+    assert "documents.parquet" not in physical(registry.ALL["ar2_sub_words"].frame(spark, FOLDER))
