@@ -152,6 +152,28 @@ def test_mean_pool(spark):
     assert got == {1: [0.75, 0.5], 2: [0.0, 2.0], 6: [2.0, 3.0], 7: [5.0, 5.0], 9: [5.0, 5.0]}
 
 
+@pytest.mark.parametrize("least", [encode.LEAST_ROWS, 7])
+def test_pooled_documents_by_brute_force(spark, monkeypatch, least):
+    """In one slice and in several; a document is pooled in one task and no part of it moves again."""
+    monkeypatch.setattr(encode, "LEAST_ROWS", least)
+    draw = np.random.default_rng(4)
+    rows = [(i if i % 5 else None, f"k{i % 3}", f"w{t}", int(n)) for i in range(20) for t, n in enumerate(draw.integers(1, 4, 9))]
+    known = {f"w{t}": draw.random(3) for t in range(7)}
+    tokens = spark.createDataFrame(rows, "id long, name string, token string, tf long")
+    vectors = spark.createDataFrame([(w, v.tolist()) for w, v in known.items()], "token string, vector array<double>")
+    pooled = encode.pool_counts(tokens, vectors, ["id", "name"])
+    assert "ObjectHashAggregate" not in pooled._jdf.queryExecution().executedPlan().toString()
+    expected = {}
+    for i, name, w, n in rows:
+        if w in known:
+            total, weight = expected.get((i, name), (0, 0))
+            expected[i, name] = total + n * known[w], weight + n
+    got = {(r.id, r["name"]): r.pooled.toArray() for r in pooled.collect()}
+    assert got.keys() == expected.keys()
+    assert all(np.allclose(got[k], total / weight) for k, (total, weight) in expected.items())
+    assert encode.pool_counts(tokens, vectors.limit(0), ["id", "name"]).count() == 0
+
+
 def test_rows_without_a_label_keep_a_place(spark):
     df = spark.createDataFrame([(1,), (1,), (0,), (None,)], "Label int")
     got = [tuple(r) for r in features.frequency_index(df).select("Label", "label_index").collect()]
