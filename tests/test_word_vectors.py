@@ -175,3 +175,54 @@ def test_summed_gradients_by_brute_force():
     rows, summed = wv._summed(at, gradient)
     assert rows.tolist() == sorted(set(at.tolist()))
     assert np.allclose(summed, [gradient[at == r].sum(axis=0) for r in rows], atol=1e-5)
+
+
+@pytest.mark.parametrize("pairs, group, at_once", [(wv.SLICE_PAIRS, wv.GROUP_PAIRS, wv.ROWS_AT_ONCE), (60, 40, 3)])
+def test_known_pairs_by_brute_force(spark, monkeypatch, pairs, group, at_once):
+    """Whatever the slices and groups, each pair of known words comes once, with the blocks of its words."""
+    monkeypatch.setattr(wv, "SLICE_PAIRS", pairs)
+    monkeypatch.setattr(wv, "GROUP_PAIRS", group)
+    monkeypatch.setattr(wv, "ROWS_AT_ONCE", at_once)
+    draw = random.Random(4)
+    names = ["a", "B", "é", "\U0001f600", "～", "zz", "rare"]
+    texts = [draw.choices(names, k=draw.randrange(9)) for _ in range(40)]
+    texts += [*texts[:20], None, [], ["a"]]
+    words = spark.createDataFrame([(w, 9, i % 3) for i, w in enumerate(names[:-1])], "word string, n int, block int")
+    expected = Counter()
+    for t in filter(None, texts):
+        for i, j in ((i, j) for i in range(len(t)) for j in range(i + 1, min(i + 3, len(t)))):
+            if "rare" not in (t[i], t[j]):
+                expected[tuple(sorted((t[i], t[j]), key=str.encode))] += 3 - (j - i)
+    rows = spark.createDataFrame([(t,) for t in texts], "words array<string>").repartition(3)
+    got = wv.co_occurrences(rows, 2, words).collect()
+    assert len(got) == len(expected) and {(r.a, r.b): round(2 * r.weight) for r in got} == expected
+    assert all((r.a_block, r.b_block) == (names.index(r.a) % 3, names.index(r.b) % 3) for r in got)
+    dealt = {(r.centre, r.context): r for r in wv.cells(wv.co_occurrences(rows, 2, words), words, 3).collect()}
+    joined = {(r.centre, r.context): r for r in wv.cells(wv.co_occurrences(rows, 2), words, 3).collect()}
+    assert dealt == joined
+
+
+def test_a_slice_moves_as_one_row_per_group(spark):
+    """Of the pairs of a slice no row each is shuffled, and copies of a text add nothing to what moves."""
+    draw = random.Random(5)
+    text = [f"w{draw.randrange(500)}" for _ in range(1000)]
+    rows = spark.createDataFrame([(text,)] * 20, "words array<string>").coalesce(1)
+    got = wv._counted(rows, 5, 4).collect()
+    assert len(got) == len({r["_group"] for r in got}) == 10
+    distinct = {tuple(sorted((text[i], text[j]))) for i in range(1000) for j in range(i + 1, min(i + 6, 1000))}
+    assert sum(len(r.x) // 4 for r in got) == len(distinct)
+
+
+def test_a_missing_word_is_no_known_word(spark):
+    rows = spark.createDataFrame([(["a", None, "b"],), ([None, None],)], "words array<string>")
+    words = spark.createDataFrame([("a", 1, 0), ("b", 1, 1), (None, 3, 0)], "word string, n int, block int")
+    got = {(r.a, r.b): r.weight for r in wv.co_occurrences(rows, 2, words).collect()}
+    assert got == {("a", "a"): 1.0, ("a", "b"): 0.5, ("b", "b"): 1.0}
+
+
+def test_tokens_are_made_once_per_row(spark):
+    docs = spark.createDataFrame([("a b c d e",), (None,), ("",), ("f",)], "t string")
+    tokens = F.filter(F.split("t", " "), lambda w: w != "")
+    rows = wv.sentences(docs, tokens, 2)
+    assert sorted(r.words for r in rows.collect()) == [["a", "b"], ["c", "d"], ["e"], ["f"]]
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
