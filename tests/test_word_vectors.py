@@ -4,6 +4,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -210,7 +211,8 @@ def test_a_slice_moves_as_one_row_per_group(spark):
     got = wv._counted(rows, 5, 4).collect()
     assert len(got) == len({r["_group"] for r in got}) == 10
     distinct = {tuple(sorted((text[i], text[j]))) for i in range(1000) for j in range(i + 1, min(i + 6, 1000))}
-    assert sum(len(r.x) // 4 for r in got) == len(distinct)
+    assert sum(r.n for r in got) == len(distinct)
+    assert all(len(r.x) == len(r.y) == r.n for r in got)
 
 
 def test_a_missing_word_is_no_known_word(spark):
@@ -226,3 +228,11 @@ def test_tokens_are_made_once_per_row(spark):
     rows = wv.sentences(docs, tokens, 2)
     assert sorted(r.words for r in rows.collect()) == [["a", "b"], ["c", "d"], ["e"], ["f"]]
     assert rows._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+
+
+def test_numbers_take_as_few_bytes_as_they_need():
+    rows = [np.array(r) for r in ([0], [3, 255], [256, 1], [1 << 16, 0, 7], [1 << 32])]
+    blobs = [wv._narrow(r) for r in rows]
+    assert [len(b) // len(r) for b, r in zip(blobs, rows)] == [1, 1, 2, 4, 8]
+    got = wv._wide(pa.chunked_array([blobs]), pa.chunked_array([[len(r) for r in rows]]))
+    assert all((g == r).all() for g, r in zip(got, rows))
