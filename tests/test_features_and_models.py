@@ -263,3 +263,33 @@ def test_text_is_cleaned_once_for_naive_bayes(spark, monkeypatch, tmp_path):
     got = models.nb_tables(spark, str(tmp_path))[1]
     assert len(cleaned) == 1 and "documents.parquet" not in got._jdf.queryExecution().toString()
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))
+
+
+def test_classifiers_are_fitted_on_the_whole_training_split(spark, monkeypatch):
+    """However many chunks there are, each query gives all of the training split to its classifier or search."""
+    rows = [(i, i, c, c % 2, "some words") for i in range(300) for c in range(10)]
+    frame = spark.createDataFrame(rows, "ID int, doc_id int, chunk_no int, Label int, TEXT string").cache()
+    monkeypatch.setattr(models, "chunks", lambda spark, d: frame)
+    whole, train_set, fit_set = models.parts(spark, "")
+    assert whole.count() == 3000 and fit_set.count() == train_set.count() > 2000
+    seen = []
+
+    class Seen(Exception):
+        pass
+
+    def see(at):
+        def called(*given, **_):
+            seen.append(given[at].count())
+            raise Seen
+
+        return called
+
+    monkeypatch.setattr(classify, "train", see(2))
+    monkeypatch.setattr(classify, "cross_validate", see(2))
+    monkeypatch.setattr(models.folds, "refit_per_fold", see(1))
+    names = ["ml12_grid_metrics", "ml14_cross_validation_table", "so4_best_parameters", "ml13_cross_validated_scores"]
+    names += ["ml16_chunk_scores", "ml6_elastic_net_scores", "ml6_logistic_scores", "ml8_naive_bayes_scores", "ml9_boosted_tree_leaves"]
+    for name in names:
+        with pytest.raises(Seen):
+            next(q for q in models.MODELS if q.name == name).run(spark, "whole")
+    assert seen == [train_set.count()] * len(names)
