@@ -293,3 +293,21 @@ def test_classifiers_are_fitted_on_the_whole_training_split(spark, monkeypatch):
         with pytest.raises(Seen):
             next(q for q in models.MODELS if q.name == name).run(spark, "whole")
     assert seen == [train_set.count()] * len(names)
+
+
+def test_tokens_of_a_row_are_counted_where_it_lies(spark):
+    """No token is shuffled to be counted; the pooled vectors are those of one row per document and token."""
+    made = [(1, "a", ["x", "y", "x", None]), (2, None, ["z"]), (2, None, ["x", "z"]), (3, "b", None), (4, "b", []), (5, "c", ["none"])]
+    docs = spark.createDataFrame(made, "id int, name string, tokens array<string>").repartition(3)
+    counted = encode.row_tokens(docs, ["id", "name"], F.col("tokens"))
+    assert "Exchange hashpartitioning" not in counted._jdf.queryExecution().executedPlan().toString()
+    got = sorted((r.id, r.n_words, sorted(zip(r.tokens, r.tfs))) for r in counted.collect())
+    assert got == [(1, 4, [("x", 2), ("y", 1)]), (2, 1, [("z", 1)]), (2, 2, [("x", 1), ("z", 1)]), (3, 0, []), (4, 0, []), (5, 1, [("none", 1)])]
+    vectors = spark.createDataFrame([("x", [1.0, 2.0]), ("y", [4.0, 0.0]), ("z", [0.0, 5.0]), ("z", [2.0, 1.0])], "token string, vector array<float>")
+    flat = encode.document_tokens(docs, ["id", "name"], F.col("tokens"))
+    packed, expected = (
+        {r.id: [round(v, 9) for v in r.pooled] for r in frame.collect()}
+        for frame in (encode.mean_pool(docs, ["id", "name"], F.col("tokens"), vectors), encode.pool_counts(flat, vectors, ["id", "name"]))
+    )
+    assert packed == expected and set(packed) == {1, 2}
+    assert packed[1] == [2.0, round(4 / 3, 9)]
