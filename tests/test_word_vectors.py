@@ -236,3 +236,54 @@ def test_numbers_take_as_few_bytes_as_they_need():
     assert [len(b) // len(r) for b, r in zip(blobs, rows)] == [1, 1, 2, 4, 8]
     got = wv._wide(pa.chunked_array([blobs]), pa.chunked_array([[len(r) for r in rows]]))
     assert all((g == r).all() for g, r in zip(got, rows))
+
+
+def test_no_part_of_a_text_moves_when_texts_are_pooled(spark, fitted):
+    """A row's vector is whole where it is first made; nothing is shuffled after that, and equal keys share a sum."""
+    docs, vectors = fitted
+    table = spark.createDataFrame([(w, v.tolist()) for w, v in vectors.items()], "word string, vector array<float>")
+    plan = wv.mean_vectors(docs, ["k"], F.col("words"), table, 16)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan[: plan.index("CoGroups")]
+    some = docs.where("k < 3")
+    one, two = (
+        {r.k: r.features for r in wv.mean_vectors(d, ["k"], F.col("words"), table, 16).collect()} for d in (some, some.union(some))
+    )
+    assert all(np.allclose(2 * np.array(one[k]), two[k]) for k in one) and len(one) == 3
+
+
+def test_texts_are_pooled_once_for_fit_and_scores(spark, monkeypatch, tmp_path):
+    from wardflow.registry import models
+
+    monkeypatch.setattr(models, "WORD_VECTORS", wv.Settings(vector_size=4, least_blocks=1))
+    pooled, whole = [], wv.mean_vectors
+    monkeypatch.setattr(models.word_vectors, "mean_vectors", lambda *a: pooled.append(a) or whole(*a))
+    draw = random.Random(6)
+    made = [(i, " ".join(draw.choices("abcdefgh", k=30))) for i in range(40)]
+    spark.createDataFrame(made, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    query = next(q for q in models.MODELS if q.name == "ml6_logistic_on_word2vec")
+    assert query.run(spark, str(tmp_path)).count() == 40 and len(pooled) == 1
+
+
+def test_rounds_leave_no_shuffle_files(spark):
+    """What a written table has shuffled is gone, so that the rounds of a training do not pile up."""
+    import gc
+    import time
+
+    from wardflow.sources.shared import CLEANED, materialised
+
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+        return {f for f in files.split("\n") if "/shuffle_" in f}
+
+    gc.disable()
+    before = shuffled()
+    held = spark.range(1000).withColumn("k", F.col("id") % 7).groupBy("k").count()
+    table = materialised(held)
+    for _ in range(20):
+        left = shuffled() - before
+        if not left:
+            break
+        time.sleep(0.5)
+    gc.enable()
+    assert not left and spark.conf.get(CLEANED, None) is None and table.count() == 7
